@@ -6,8 +6,9 @@ are trained with numpy on the class-prior-corrected risk
     R = prior * E_P[l(g)] + max(0, E_U[l(-g)] - prior * E_P[l(-g)])
 
 with the sigmoid loss; where the second part turns negative, its gradient is reversed, which keeps the classifier from
-explaining away unlabelled positives (non-negative PU learning). Features are words and their character n-grams, chosen
-by how much more often texts among the positives have them than unlabelled ones.
+explaining away unlabelled positives (non-negative PU learning). Features are words and their character n-grams at
+several levels of their count in a text, chosen by how much more often texts among the positives have them than
+unlabelled ones.
 
 The classifiers are fitted on bounded samples: at most ``max_positive`` toxic and ``max_unlabelled`` other texts, the
 first by a hash of their ids. Scoring needs the chosen features alone and reads every text whole, without a shuffle.
@@ -16,7 +17,9 @@ first by a hash of their ids. Scoring needs the chosen features alone and reads
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -26,63 +29,111 @@ from pyspark.sql import types as T
 
 from . import common as C
 
-#: log2 of the number of hashed features.
-FEATURE_BITS = 20
 #: Lengths of the character n-grams, word ends included.
 GRAMS = (4, 5, 6)
+#: How often a text must have a feature for each of its levels.
+LEVELS = (1, 2, 3, 5)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def _features(word: str) -> np.ndarray:
-    """Hashed features of a word: itself and its n-grams; ``^`` and ``$`` mark its ends."""
-    from zlib import crc32
-
+def _grams(word: str) -> set[str]:
+    """A word and its n-grams; ``^`` and ``$`` mark its ends. Of words of 64 and more letters only the word."""
     w = f"^{word}$"
-    grams = {w} | {w[i : i + n] for n in GRAMS for i in range(len(w) - n + 1)} if len(w) < 64 else {w}
-    return np.unique(np.array([crc32(g.encode()) >> (32 - FEATURE_BITS) for g in grams], dtype=np.int32))
+    return {w} | {w[i : i + n] for n in GRAMS for i in range(len(w) - n + 1)} if len(w) < 64 else {w}
 
 
 class _Features(dict):
-    """word -> features, of the chosen ones only where there are any; bounded like a cache."""
+    """word -> hashes of its features, in order; bounded like a cache."""
+
+    def __missing__(self, word: str) -> np.ndarray:
+        if len(self) > 100_000:
+            self.clear()
+        f = self[word] = np.unique(np.array([crc32(g.encode()) for g in _grams(word)], dtype=np.int64))
+        return f
+
+
+class _Found(dict):
+    """word -> those of the given features that it has, found by an automaton of their texts; bounded like a cache."""
 
-    def __init__(self, chosen: np.ndarray | None = None):
-        super().__init__()
-        self.place = None
-        if chosen is not None:
-            self.place = np.full(1 << FEATURE_BITS, -1, dtype=np.int32)
-            self.place[chosen] = np.arange(len(chosen))
+    def __init__(self, grams: dict[str, int]):
+        import ahocorasick
 
-    def __missing__(self, word: str):
-        if len(self) > 200_000:
+        self.automaton = ahocorasick.Automaton()
+        for g, f in grams.items():
+            self.automaton.add_word(g, f)
+        if grams:
+            self.automaton.make_automaton()
+        else:
+            self.automaton = None
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) > 300_000:
             self.clear()
-        f = _features(word)
-        if self.place is not None:
-            f = self.place[f]
-            f = tuple(f[f >= 0].tolist())
-        self[word] = f
+        f = self[word] = tuple({f for _, f in self.automaton.iter(f"^{word}$")}) if self.automaton else ()
         return f
 
 
-def _words(text: str | None) -> set[str]:
-    return set(_WORD.findall((text or "").lower()))
+def _words(text: str | None) -> Counter:
+    return Counter(_WORD.findall((text or "").lower()))
+
+
+def _levels(counts: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """A feature at each level that its count in a text reaches, as one number."""
+    return np.concatenate([(features[counts >= least] << 2) | level for level, least in enumerate(LEVELS)])
 
 
 def _sample_features(batches):
-    """(positive, features) of the sampled texts."""
+    """(positive, features at their levels) of the sampled texts."""
     cache = _Features()
     for batch in batches:
         feats = []
         for text in batch.column(1).to_pylist():
-            own = [cache[w] for w in _words(text)]
-            feats.append(np.unique(np.concatenate(own)).tolist() if own else [])
-        yield pa.record_batch({"positive": batch.column(0), "features": pa.array(feats, pa.list_(pa.int32()))})
+            words = _words(text)
+            if words:
+                own = [cache[w] for w in words]
+                all_, at = np.unique(np.concatenate(own), return_inverse=True)
+                counts = np.bincount(at, weights=np.repeat(list(words.values()), [len(f) for f in own]))
+                feats.append(_levels(counts, all_))
+            else:
+                feats.append(np.zeros(0, np.int64))
+        ends = np.r_[0, np.cumsum([len(f) for f in feats])].astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(feats) if feats else np.zeros(0, np.int64)))
+        yield pa.record_batch({"positive": batch.column(0), "features": lists, "text": batch.column(1)})
+
+
+def _grams_of(features: np.ndarray):
+    """The texts of features, as far as the sampled texts have them."""
+
+    def run(batches):
+        own, seen = set(features.tolist()), set()
+        for batch in batches:
+            out = []
+            for text in batch.column(0).to_pylist():
+                for word in _words(text).keys() - seen:
+                    seen.add(word)
+                    out += [(f, g) for g in _grams(word) if (f := crc32(g.encode())) in own]
+            if out:
+                f, g = zip(*set(out), strict=True)
+                yield pa.record_batch({"f": pa.array(f, pa.int64()), "gram": pa.array(g)})
+
+    return run
+
+
+def _chosen_features(chosen: np.ndarray):
+    def run(batches):
+        for batch in batches:
+            lists = [np.intersect1d(np.array(f, dtype=np.int64), chosen).tolist() for f in batch.column(1).to_numpy(zero_copy_only=False)]
+            yield pa.record_batch({"positive": batch.column(0), "features": pa.array(lists, pa.list_(pa.int64()))})
+
+    return run
 
 
 @dataclass
 class Classifier:
-    """Chosen hashed features, and for each of several classifiers their weights and a bias; the mean is the score."""
+    """Chosen features at their levels, the texts of the features, and for each of several classifiers their weights and a bias; the mean is the score."""
 
     chosen: np.ndarray
+    grams: dict[str, int]
     weights: np.ndarray
     bias: np.ndarray
     prior: float
@@ -92,11 +143,11 @@ class Classifier:
         return float(np.mean(1.0 / (1.0 + np.exp(-np.clip(g, -30, 30)))))
 
 
-def nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, scale: np.ndarray, seed: int, epochs: int = 60, batch: int = 512, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, scale: np.ndarray, seed: int, epochs: int = 50, batch: int = 512, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear classifier on 0/1 rows, by Adam on the non-negative PU risk."""
     rng, n = np.random.default_rng(seed), positive.shape[1]
-    w, b = scale.copy(), -float(scale.sum() and np.median(unlabelled @ scale) + 1.0)
-    m, v = np.zeros(n + 1), np.zeros(n + 1)
+    w, b = scale.astype(np.float32), np.float32(-np.median(unlabelled @ scale.astype(np.float32)) - 1.0)
+    m, v = np.zeros(n + 1, dtype=np.float32), np.zeros(n + 1, dtype=np.float32)
     t = 0
     steps = max(1, -(-len(unlabelled) // batch))
     for _ in range(epochs):
@@ -116,11 +167,11 @@ def nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, scale: np.n
             t += 1
             m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
             step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-            w, b = w - step[:-1], b - step[-1]
+            w, b = (w - step[:-1]).astype(np.float32), np.float32(b - step[-1])
     return w, float(b)
 
 
-def train(docs: DataFrame, positives: DataFrame, prior: float | None, id_col: str = "doc_id", text_col: str = "text", max_positive: int = 3000, max_unlabelled: int = 9000, features: int = 1500, members: int = 3) -> Classifier:
+def train(docs: DataFrame, positives: DataFrame, prior: float | None, id_col: str = "doc_id", text_col: str = "text", max_positive: int = 2500, max_unlabelled: int = 6000, features: int = 1200, members: int = 3) -> Classifier:
     """Fits classifiers on docs (all unlabelled but those in ``positives``, a column of distinct ids).
 
     prior: share of toxic texts among all. Without positives, or without texts, the classifier has no features and
@@ -134,14 +185,14 @@ def train(docs: DataFrame, positives: DataFrame, prior: float | None, id_col: st
     toxic_ids = marked.join(given.select("id").distinct(), "id").orderBy(order, "id").limit(max_positive).select("id", F.lit(True).alias("positive"))
     other_ids = given.select("id").filter(F.col("id").isNotNull()).distinct().join(marked, "id", "left_anti").orderBy(order, "id").limit(max_unlabelled).select("id", F.lit(False).alias("positive"))
     ids = toxic_ids.unionByName(other_ids)  # at most max_positive + max_unlabelled rows
-    sample = given.join(F.broadcast(ids), "id").select("positive", "text").mapInArrow(_sample_features, "positive boolean, features array<int>")
+    sample = given.join(F.broadcast(ids), "id").select("positive", "text").mapInArrow(_sample_features, "positive boolean, features array<long>, text string")
     sample = C.materialize(sample, "toxicity-sample")
     sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
     if not n_p or not n_u:
         only = float(prior or 0.0)
         g = np.log(max(only, 1e-6) / max(1 - only, 1e-6))
-        return Classifier(np.zeros(0, np.int64), np.zeros((1, 0)), np.array([min(g, -1e-6) if only < 0.5 else g]), only)
+        return Classifier(np.zeros(0, np.int64), {}, np.zeros((1, 0)), np.array([min(g, -1e-6) if only < 0.5 else g]), only)
     counts = sample.select("positive", F.explode("features").alias("f")).groupBy("f").agg(F.sum(F.col("positive").cast("long")).alias("p"), F.count(F.lit(1)).alias("n"))
     p, q = (F.col("p") + 0.5) / (n_p + 1), (F.col("n") - F.col("p") + 0.5) / (n_u + 1)
     both = (F.col("n") + 1) / (n_p + n_u + 2)
@@ -150,30 +201,39 @@ def train(docs: DataFrame, positives: DataFrame, prior: float | None, id_col: st
     prior = float(prior if prior is not None else n_p / (n_p + n_u))
     chosen, scale = np.array([r["f"] for r in best], dtype=np.int64), np.array([r["ratio"] for r in best])
     if not len(chosen):
-        return Classifier(chosen, np.zeros((1, 0)), np.array([np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))]), prior)
-    place = np.full(1 << FEATURE_BITS, -1, dtype=np.int64)
-    place[chosen] = np.arange(len(chosen))
+        return Classifier(chosen, {}, np.zeros((1, 0)), np.array([np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))]), prior)
+    order_of = np.sort(chosen)
+    scale = scale[np.argsort(chosen)]
     rows = {True: np.zeros((n_p, len(chosen)), dtype=np.float32), False: np.zeros((n_u, len(chosen)), dtype=np.float32)}
     at = {True: 0, False: 0}
-    keep = F.array(*[F.lit(int(f)) for f in chosen])
-    ordered = sample.select("positive", F.sort_array(F.array_intersect("features", keep)).alias("features")).collect()
-    for r in sorted(ordered, key=lambda r: (r["positive"], r["features"])):  # the same order however tasks ran
-        rows[r["positive"]][at[r["positive"]], place[r["features"]]] = 1.0
+    chosen = order_of
+    held = sample.mapInArrow(_chosen_features(chosen), "positive boolean, features array<long>").collect()
+    for r in sorted(held, key=lambda r: (r["positive"], r["features"])):  # the same order however tasks ran
+        rows[r["positive"]][at[r["positive"]], np.searchsorted(chosen, r["features"])] = 1.0
         at[r["positive"]] += 1
     # n-grams of one marker come and go together; each gets its share of the evidence.
     scale = scale / max(1.0, float((rows[True] @ scale).mean() / 6.0))
     fits = [nnpu(rows[True], rows[False], prior, scale, seed) for seed in range(members)]
-    return Classifier(chosen, np.stack([w for w, _ in fits]), np.array([b for _, b in fits]), prior)
+    named = sample.select("text").mapInArrow(_grams_of(np.unique(chosen >> 2)), "f long, gram string").distinct().collect()
+    return Classifier(chosen, {r["gram"]: r["f"] for r in named}, np.stack([w for w, _ in fits]), np.array([b for _, b in fits]), prior)
 
 
 def _score(model: Classifier, text_at: int, names: list[str]):
     def run(batches):
-        cache = _Features(model.chosen)
+        cache = _Found(model.grams)
         for batch in batches:
             scores = []
             for text in batch.column(text_at).to_pylist():
-                own = {f for w in _words(text) for f in cache[w]}
-                scores.append(model.score(np.fromiter(own, dtype=np.int64, count=len(own))))
+                counts: dict[int, int] = {}
+                for word, n in _words(text).items():
+                    for f in cache[word]:
+                        counts[f] = counts.get(f, 0) + n
+                held = np.zeros(0, np.int64)
+                if counts:
+                    held = _levels(np.fromiter(counts.values(), np.int64, len(counts)), np.fromiter(counts, np.int64, len(counts)))
+                    at = np.minimum(np.searchsorted(model.chosen, held), len(model.chosen) - 1)
+                    held = np.sort(at[model.chosen[at] == held])
+                scores.append(model.score(held))
             s = np.array(scores, dtype=np.float64)
             columns = [*(batch.column(i) for i in range(batch.num_columns)), pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
