@@ -323,6 +323,8 @@ class Model:
     def _by_slice(self, name: str, ids: np.ndarray, columns: int) -> np.ndarray:
         """Rows of a sliced array for sorted distinct ids below the vocabulary's size; zeros for others."""
         out = np.zeros((len(ids), columns), dtype=np.int64)
+        if not self.pairs:
+            return out
         inside = ids < self.vocabulary.size
         where = np.where(inside, ids // self.width, -1)
         for s in np.unique(where[inside]):
@@ -332,6 +334,8 @@ class Model:
 
     def _pair_counts(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), dtype=np.int64)
+        if not self.pairs:
+            return out
         where = (keys >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(keys), np.int64)
         cuts = np.searchsorted(where, np.arange((1 << self.bits) + 1))
         for b in np.flatnonzero(cuts[1:] > cuts[:-1]):

@@ -73,7 +73,7 @@ class _Files:
         if self.out is None:
             self.name = f"shard-{self.shard:06d}-{self.number:04d}.warc.gz"
             self.temporary = f"{self.base}/.{self.name}.{uuid.uuid4().hex}"
-            self.out, self.size, self.records, self.sha = self.fs.open_output_stream(self.temporary), 0, 0, hashlib.sha256()
+            self.out, self.size, self.records, self.sha = self.fs.open_output_stream(self.temporary, compression=None), 0, 0, hashlib.sha256()
         z = zlib.compressobj(self.level, zlib.DEFLATED, 31)
         member = z.compress(data) + z.flush()
         self.out.write(member)
