@@ -20,6 +20,7 @@ class CellTable:
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._scan: DataFrame | None = None
 
     # -- writing
 
@@ -52,6 +53,7 @@ class CellTable:
         if fs.exists(target):
             fs.delete(target, True)
         fs.rename(source, target)
+        self._scan = None
         return rows
 
     def restamp(self, provenance: dict[str, str]) -> bool:
@@ -78,15 +80,17 @@ class CellTable:
 
     def read(self, columns: list[str] | None = None) -> DataFrame:
         """The table's rows without the shard column, which is a directory and not part of the schema."""
-        out = self.spark.read.parquet(self.path).drop("base")
+        out = self.scan().drop("base")
         return out.select(*columns) if columns else out
 
     def scan(self) -> DataFrame:
-        """With the shard column, for joins that prune by it."""
-        return self.spark.read.parquet(self.path)
+        """With the shard column, for joins that prune by it. Files are listed once per table object and write."""
+        if self._scan is None:
+            self._scan = self.spark.read.parquet(self.path)
+        return self._scan
 
     def provenance(self) -> dict[str, str]:
-        field = self.spark.read.parquet(self.path).schema["h3_cell"]
+        field = self.scan().schema["h3_cell"]
         return dict(field.metadata.get("provenance", {}))
 
     def sizes(self) -> DataFrame:
