@@ -37,11 +37,7 @@ class Tokens:
     rank file (``ranks_path``) gives the same ids several times faster; tests compare both."""
 
     def __init__(self, json_path: str, ranks_path: str | None = None, pattern: str | None = None):
-        from tokenizers import Tokenizer
-
-        self.slow = Tokenizer.from_file(json_path)
-        self.slow.encode_special_tokens = True  # their names in a text are ordinary text
-        self.fast = None
+        self.json_path, self.slow, self.fast = json_path, None, None
         if ranks_path:
             import tiktoken
 
@@ -56,6 +52,11 @@ class Tokens:
                 return np.array(self.fast.encode_ordinary(text), dtype="<u4")
             except UnicodeEncodeError:
                 pass
+        if self.slow is None:  # only few texts need it, and it is large
+            from tokenizers import Tokenizer
+
+            self.slow = Tokenizer.from_file(self.json_path)
+            self.slow.encode_special_tokens = True  # their names in a text are ordinary text
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
