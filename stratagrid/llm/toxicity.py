@@ -46,7 +46,7 @@ class _Features(dict):
     """word -> hashes of its features, in order; bounded like a cache."""
 
     def __missing__(self, word: str) -> np.ndarray:
-        if len(self) > 100_000:
+        if len(self) > 40_000:
             self.clear()
         f = self[word] = np.unique(np.array([crc32(g.encode()) for g in _grams(word)], dtype=np.int64))
         return f
@@ -67,7 +67,7 @@ class _Found(dict):
             self.automaton = None
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         f = self[word] = tuple({f for _, f in self.automaton.iter(f"^{word}$")}) if self.automaton else ()
         return f
