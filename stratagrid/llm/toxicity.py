@@ -185,7 +185,8 @@ def train(docs: DataFrame, positives: DataFrame, prior: float | None, id_col: st
     toxic_ids = marked.join(given.select("id").distinct(), "id").orderBy(order, "id").limit(max_positive).select("id", F.lit(True).alias("positive"))
     other_ids = given.select("id").filter(F.col("id").isNotNull()).distinct().join(marked, "id", "left_anti").orderBy(order, "id").limit(max_unlabelled).select("id", F.lit(False).alias("positive"))
     ids = toxic_ids.unionByName(other_ids)  # at most max_positive + max_unlabelled rows
-    sample = given.join(F.broadcast(ids), "id").select("positive", "text").mapInArrow(_sample_features, "positive boolean, features array<long>, text string")
+    # The sample is dealt anew, since a few of the input's files may hold most of it.
+    sample = given.join(F.broadcast(ids), "id").select("positive", "text").repartition(C.shuffle_partitions(spark)).mapInArrow(_sample_features, "positive boolean, features array<long>, text string")
     sample = C.materialize(sample, "toxicity-sample")
     sizes = {r["positive"]: r["n"] for r in sample.groupBy("positive").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_p, n_u = sizes.get(True, 0), sizes.get(False, 0)
