@@ -35,7 +35,7 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The document with the smallest id of each group of near duplicates (of rows that share it, one). Groups of rows
     without any id keep one of them."""
-    found = simhash.near_duplicates(docs)
+    found = C.materialize(simhash.near_duplicates(docs), "near-duplicate-groups")
     # Rows to drop are told by (id, fingerprint); most are few enough for Spark to broadcast, else they are joined.
     keep = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n"))
     unnamed = found.filter(F.col("component_id").isNull()).agg(F.count(F.lit(1)).alias("n")).first()["n"]
