@@ -141,6 +141,46 @@ def regressions(cells: DataFrame, golden: DataFrame, tolerance: float = 0.01) ->
     return g.join(cells.select("h3_cell", "elevation_mean", "pixel_count"), "h3_cell", "left").filter(~F.coalesce(same, F.lit(False)))
 
 
+def ground_truth(cells: DataFrame, pixels: DataFrame) -> DataFrame:
+    """Published cells (h3_cell, elevation_mean, pixel_count) against the pixels (h3_cell, elev) that fall in them: the
+    difference of means, and whether counts agree."""
+    own = pixels.groupBy("h3_cell").agg(F.avg(F.col("elev").cast("double")).alias("pixel_mean"), F.count("elev").alias("pixels"))
+    return cells.join(own, "h3_cell", "left").select("h3_cell", F.abs(F.col("elevation_mean").cast("double") - F.col("pixel_mean")).alias("difference"), F.col("pixel_count").eqNullSafe(F.col("pixels")).alias("same_count"))
+
+
+def random_cells(cells: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """n cells that don't depend on how they are stored: those with the smallest hashes of their ids."""
+    return cells.orderBy(F.xxhash64(F.lit(seed), "h3_cell"), "h3_cell").limit(n)
+
+
+def performance(table, cell: int) -> DataFrame:
+    """How long a lookup and a full count take; always passes."""
+    import time
+
+    rows = []
+    for name, action in (("lookup of one cell", lambda: table.lookup(cell).count()), ("full count", lambda: table.read().count())):
+        start = time.perf_counter()
+        n = action()
+        rows.append(("performance", name, f"{n} rows in {(time.perf_counter() - start) * 1000:.0f} ms", True))
+    return table.spark.createDataFrame(rows, "section string, check string, detail string, ok boolean")
+
+
+def suite(cells: DataFrame, points: DataFrame | None = None, reference_res: int = 9, curve_res: int = 5, spread: float = 1e-3) -> DataFrame:
+    """The checks of a whole table (res and the published columns) as one report: invariants, conservation, validity,
+    uniqueness, the distribution of elevations, and landmarks (see landmarks()) if given."""
+    at = F.concat(F.lit("res"), F.col("res"))
+    parts = [
+        invariant_checks(cells),
+        conservation(cells, reference_res, spread).select(*_check("conservation", at, F.concat(F.col("pixels"), F.lit(" pixels, spread "), F.col("spread")), F.col("ok"))),
+        cell_validity(cells).select(*_check("cells", F.concat(at, F.lit(" validity")), F.concat(F.col("invalid") + F.col("other_resolution"), F.lit(" of "), F.col("cells")), F.col("invalid") + F.col("other_resolution") == 0)),
+        uniqueness(cells).select(*_check("cells", F.concat(at, F.lit(" uniqueness")), F.concat(F.col("repeated"), F.lit(" repeated")), F.col("repeated") == 0)),
+        hypsographic(cells.filter(F.col("res") == curve_res)).select(*_check("hypsographic", "mean land elevation", F.concat(F.round("mean", 0), F.lit(" m")), F.col("ok"))),
+    ]
+    if points is not None:
+        parts.append(landmarks(points, cells).select(*_check("landmarks", F.col("name"), F.concat(F.col("column"), F.lit("="), F.coalesce(F.col("value").cast("string"), F.lit("not found"))), F.col("ok"))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def report(checks: DataFrame) -> str:
     """Checks as Markdown; they are a handful of rows."""
     rows = checks.orderBy("section", "check").collect()

@@ -367,6 +367,22 @@ def elevation_range(spark, sf_dir):
     return synth.cells(spark, sf_dir, 2).agg(F.round(F.percentile(e, F.lit(0.05)), 6).alias("p5"), F.round(F.median(e), 6).alias("middle"), F.min("elevation_mean").alias("low"), F.max("elevation_mean").alias("high"))
 
 
+@query(f"""WITH {PX}, {synth.cells_sql(7, 'cells')}, own AS (SELECT {P('h3_cell', 7)} AS h3_cell, sum(elev) / count(*) AS m, count(*) AS n FROM px GROUP BY 1)
+  SELECT h3_cell, round(abs(CAST(elevation_mean AS DOUBLE) - m), 6) AS difference, pixel_count = n AS same_count FROM cells JOIN own USING (h3_cell)""")
+def ground_truth(spark, sf_dir):
+    return checks.ground_truth(synth.cells(spark, sf_dir, 7), at_res(spark, sf_dir, 7)).withColumn("difference", F.round("difference", 6))
+
+
+@query()
+def random_cells(spark, sf_dir):
+    return checks.random_cells(synth.cells(spark, sf_dir, 9), 100)
+
+
+@query()
+def validation_suite(spark, sf_dir):
+    return checks.suite(_all_cells(spark, sf_dir))
+
+
 # ---- planning ----------------------------------------------------------------------------------------------------
 
 _SECONDS = f"{synth.COMMITS}, d AS (SELECT band, completed_at, (epoch_us(completed_at) - lag(epoch_us(completed_at)) OVER (ORDER BY completed_at, band)) / 1e6 AS seconds FROM commits)"

@@ -93,6 +93,14 @@ class CellTable:
         field = self.scan().schema["h3_cell"]
         return dict(field.metadata.get("provenance", {}))
 
+    def recompress(self) -> dict[str, int]:
+        """Writes the table anew with the options of this module; gives bytes and rows before and after."""
+        measure = lambda: self.sizes().agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()["b"]
+        before, rows = measure(), self.read().count()
+        self.write(self.read(), self.provenance() or None, expected_rows=rows)
+        after = measure()
+        return {"bytes_before": before, "bytes_after": after, "rows": rows, "bytes_per_row": after // max(rows, 1)}
+
     def sizes(self) -> DataFrame:
         """(path, length) of the table's files."""
         return self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(self.path).select("path", "length")
@@ -174,3 +182,29 @@ def write_partitioned(cells: DataFrame, path: str, res: int = 1) -> None:
     """Files by an ancestor (r1=<cell>), replacing only the partitions that the rows fall in."""
     marked = cells.withColumn("r1", bits.parent(F.col("h3_cell"), res))
     marked.repartition("r1").sortWithinPartitions("r1", "h3_cell").write.options(**WRITE_OPTIONS).option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("r1").parquet(path)
+
+
+def completed_cells(spark: SparkSession, path: str, res: int, commits: DataFrame) -> DataFrame:
+    """Cells of one resolution of all committed bands (band), with lat and lon; files of other bands aren't looked at."""
+    from ..functions.grid_udfs import cell_to_latlng
+
+    done = read_bands(spark, path, res).join(commits.select(F.col("band").alias("lat_band")).distinct(), "lat_band", "left_semi")
+    return done.withColumn("_at", cell_to_latlng(F.col("h3_cell"))).withColumn("lat", F.col("_at.lat")).withColumn("lon", F.col("_at.lng")).drop("_at")
+
+
+def read_band(spark: SparkSession, path: str, band: str, res: int) -> DataFrame | None:
+    """A band's cells, or None where the band isn't there; any other failure is raised."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{band}/res{res}")
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        return None
+    return spark.read.parquet(f"{path}/{band}/res{res}")
+
+
+def append_csv(rows: DataFrame, path: str) -> None:
+    """Adds rows to a folder of CSV files, each with a header."""
+    rows.coalesce(1).write.option("header", True).mode("append").csv(path)
+
+
+def merged_provenance(*parts: dict[str, str]) -> dict[str, str]:
+    """Provenance entries put together; later ones win."""
+    return {k: v for p in parts for k, v in p.items()}

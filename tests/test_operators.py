@@ -120,3 +120,14 @@ def test_products(spark):
     assert products.regular_grid(spark).count() == 180 * 361
     assert products.boomerang(4) == [0, 1, 2, 3, 2, 1]
     assert products.ring_descendants(spark, 37.77, -122.41, cells, from_res=8, res=9).count() <= 1
+
+
+def test_suite(spark, sf_dir):
+    from stratagrid import queries
+
+    rows = queries.QUERIES["validation_suite"](spark, sf_dir).collect()
+    assert {r["section"] for r in rows} == {"invariants", "conservation", "cells", "hypsographic"}
+    assert [r["ok"] for r in rows if r["section"] == "conservation"] == [True] * 3
+    cells = spark.createDataFrame([(k, float(k)) for k in range(50)], "h3_cell long, elevation_mean float")
+    a = checks.random_cells(cells.repartition(7), 10).collect()
+    assert a == checks.random_cells(cells.coalesce(1), 10).collect() and len(a) == 10

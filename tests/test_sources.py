@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratagrid import synth
 from stratagrid.functions import bits
-from stratagrid.operators import stats
+from stratagrid.operators import checks, stats
 from stratagrid.sources import table, tiles
 from stratagrid.streaming import sweep
 
@@ -90,6 +90,8 @@ def test_cell_table(spark, sf_dir, tmp_path):
     below = {r["h3_cell"] for r in stored.descendants([parent], 5).collect()}
     assert below == {r["h3_cell"] for r in cells.filter(bits.parent(F.col("h3_cell"), 3) == parent).collect()}
     assert not stored.add_column("geoid_undulation", lambda d: d) and stored.add_column("twice", lambda d: d.withColumn("twice", F.col("elevation_mean") * 2))
+    done = stored.recompress()
+    assert done["rows"] == n and done["bytes_after"] > 0 and checks.performance(stored, some[0]).filter("NOT ok").count() == 0
     assert stored.sizes().count() == cells.select(bits.base_cell(F.col("h3_cell"))).distinct().count()
 
 
@@ -108,6 +110,16 @@ def test_band_files(spark, tmp_path):
         table.write_band(cells, str(tmp_path), band, 5)
     assert table.read_bands(spark, str(tmp_path), 5).count() == 2
     assert table.read_bands(spark, str(tmp_path), 5, ["lat_+1_+0"]).first()["lat_band"] == "lat_+1_+0"
+    assert table.read_band(spark, str(tmp_path), "lat_+9_+8", 5) is None and table.read_band(spark, str(tmp_path), "lat_+1_+0", 5).count() == 1
+    cell = 0x85283473FFFFFFF
+    table.write_band(cells.withColumn("h3_cell", F.lit(cell)), f"{tmp_path}/b", "lat_+38_+37", 5)
+    table.write_band(cells.withColumn("h3_cell", F.lit(cell)), f"{tmp_path}/b", "lat_+39_+38", 5)
+    done = table.completed_cells(spark, f"{tmp_path}/b", 5, spark.createDataFrame([("lat_+38_+37",)], "band string")).collect()
+    assert [r["lat_band"] for r in done] == ["lat_+38_+37"] and abs(done[0]["lat"] - 37.35) < 0.1
+    for _ in range(2):
+        table.append_csv(cells.select("h3_cell"), f"{tmp_path}/log")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/log").count() == 2
+    assert table.merged_provenance({"a": "1", "b": "1"}, {"b": "2"}) == {"a": "1", "b": "2"}
     table.write_partitioned(cells, f"{tmp_path}/r1")
     table.write_partitioned(cells, f"{tmp_path}/r1")
     assert spark.read.parquet(f"{tmp_path}/r1").count() == 1
