@@ -152,12 +152,14 @@ def _write_queries(folder: str, dims: int):
     return run
 
 
-def _search(folder: str, k: int, share: bool):
-    """Rows (shard, block): searches the block's queries in the shard's tree. share: begin at the first round's scores."""
+def _search(folder: str, k: int, share: bool, shards: list[int], blocks: list[int]):
+    """Rows (number of a pair of shard and block): searches the block's queries in the shard's tree. share: begin at the
+    first round's scores."""
 
     def run(batches):
         for batch in batches:
-            for shard, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for pair in batch.column(0).to_pylist():
+                shard, block = shards[pair // len(blocks)], blocks[pair % len(blocks)]
                 tree = BallTree(**{f: np.asarray(C.get_array(folder, f"{f}-{shard}")) for f in BallTree.__dataclass_fields__})
                 queries, ids = np.asarray(C.get_array(folder, f"queries-{block}")), np.asarray(C.get_array(folder, f"query_ids-{block}"))
                 floors = np.asarray(C.get_array(folder, f"floors-{block}")) if share else np.full(len(ids), -np.inf)
@@ -206,8 +208,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     have, ask = present(vectors, shards), present(queries, blocks)
 
     def round_of(own: list[int], share: bool) -> DataFrame:
-        pairs = spark.createDataFrame([(i, s, b) for i, (s, b) in enumerate((s, b) for s in own for b in ask)], "i int, shard int, block int")
-        found = pairs.repartitionById(len(own) * len(ask), "i").select("shard", "block").mapInArrow(_search(folder, k, share), "query_id long, vec_id long, score long")
+        n = len(own) * len(ask)
+        pairs = spark.range(0, n, 1, min(n, 100_000))  # a task a pair, as long as tasks are few enough
+        found = pairs.mapInArrow(_search(folder, k, share, own, ask), "query_id long, vec_id long, score long")
         return C.materialize(found, "top-k")
 
     found = round_of(have[:1], False)

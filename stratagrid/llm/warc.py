@@ -18,6 +18,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -137,28 +138,36 @@ def _write(folder: str, roll: int, level: int, copies: C.SortedTable, least: int
     return run
 
 
-def _bounds(pages: DataFrame, shards: int, rows: int, sample: int) -> list[int]:
-    """shards - 1 ids between equal shares of about ``sample`` rows, chosen by their content."""
+def _bounds(pages: DataFrame, shards: int, rows: int, sample: int) -> np.ndarray:
+    """shards - 1 ids between equal shares of a sample of rows, which are chosen by their content: about ``sample`` of
+    them, or 20 a shard if that is more. A row that is repeated often is one row of the sample with its count."""
     if shards < 2:
-        return []
-    one_in = max(1, rows // sample)
+        return np.zeros(0, np.int64)
+    one_in = max(1, rows // max(sample, 20 * shards))
     chosen = pages.filter((F.pmod(F.xxhash64("page_id", "url"), F.lit(one_in)) == 0) & F.col("page_id").isNotNull())
-    ids = [r[0] for r in chosen.groupBy("page_id").count().select(F.col("page_id"), F.col("count")).orderBy("page_id").collect() for _ in range(r[1])]
-    return [ids[len(ids) * k // shards] for k in range(1, shards)] if ids else []
+    counted = chosen.groupBy("page_id").agg(F.count(F.lit(1)).alias("n")).orderBy("page_id").toPandas()
+    if not len(counted):
+        return np.zeros(0, np.int64)
+    upto = np.cumsum(counted["n"].to_numpy())
+    wanted = np.arange(1, shards) * int(upto[-1]) // shards
+    return counted["page_id"].to_numpy(dtype=np.int64)[np.searchsorted(upto, wanted, side="right")]
 
 
-def _shard_of(bounds: list[int]):
-    """Column functions that give the shard of an id: bounds at or below it, and of an id that several bounds fall on
-    one of their shards by a hash. Ids that are missing go before all others."""
-    lists = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.array().cast("array<long>")
-    below = F.coalesce(F.size(F.filter(lists, lambda b: b <= F.col("page_id"))), F.lit(0))
-    same = F.coalesce(F.size(F.filter(lists, lambda b: b == F.col("page_id"))), F.lit(0))
-    spread = F.when(same > 1, F.pmod(F.xxhash64("url", "html", "page_id"), same).cast("int")).otherwise(F.lit(0))
-    # ids below all bounds, and rows without an id, have no bound that tells them apart: shard 0
-    return (F.when(F.col("page_id").isNull(), F.lit(0)).otherwise(below) - spread).cast("int")
+def _shard_of(bounds: np.ndarray):
+    """The shard of an id: bounds at or below it, and of an id that several bounds fall on one of their shards by a
+    hash. Rows without an id go before all others, to shard 0."""
 
+    @F.pandas_udf("int")
+    def shard(page_id: pd.Series, spread: pd.Series) -> pd.Series:
+        ids = page_id.fillna(np.iinfo(np.int64).min).to_numpy(dtype=np.int64)
+        last, first = np.searchsorted(bounds, ids, side="right"), np.searchsorted(bounds, ids, side="left")
+        same = np.maximum(last - first, 1)
+        return pd.Series((last - spread.to_numpy(dtype=np.int64) % same).astype(np.int32))
 
-def write_archive(pages: DataFrame, folder: str, min_dedupe_bytes: int = 1000, shard_bytes: int = 24 << 20, roll_bytes: int = 8 << 20, level: int = 6, sample: int = 20_000) -> str:
+    return shard(F.col("page_id"), F.xxhash64("url", "html", "page_id").bitwiseAND(F.lit((1 << 62) - 1).cast("long")))
+
+
+def write_archive(pages: DataFrame, folder: str, min_dedupe_bytes: int = 1000, shard_bytes: int = 24 << 20, roll_bytes: int = 8 << 20, level: int = 6, sample: int = 20_000, max_shards: int = 100_000) -> str:
     """Writes a record for every row (page_id, url, html) below ``folder``; gives the URI of the manifest.
 
     Of records with equal payloads of at least ``min_dedupe_bytes`` bytes, those with the largest page id hold the
@@ -177,7 +186,8 @@ def write_archive(pages: DataFrame, folder: str, min_dedupe_bytes: int = 1000, s
     keep = light.groupBy("digest").agg(F.max("page_id").alias("keep"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND keep IS NOT NULL")
     copies = C.write_sorted_table(keep.select("digest", "keep").mapInArrow(_split_digest, "h long, second long, keep long"), "warc-copies", ("second", "keep"))
     total = given.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
-    shards = max(1, -(-total["bytes"] // shard_bytes))
+    # Beyond max_shards, shards get larger; a task streams its shard, so that costs time and no memory.
+    shards = min(max_shards, max(1, -(-total["bytes"] // shard_bytes)))
     shard = _shard_of(_bounds(given.select("page_id", "url"), shards, total["rows"], sample))
     dealt = given.select(shard.alias("shard"), "page_id", "url", "html").repartitionById(shards, "shard")
     ordered = dealt.sortWithinPartitions("shard", "page_id", "url", "html")
