@@ -23,14 +23,14 @@ from . import common as C
 
 #: Terms of one set in the plan.
 BLOCK = 50_000
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
-    """The words of a text with A-Z lower-cased; none of a null text. Texts without other letters than ASCII ones take
-    the faster of two functions that agree on them."""
-    lower = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(C.ascii_lower(text))
-    return F.coalesce(F.regexp_extract_all(lower, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    """The words of a text with A-Z lower-cased; none of a null text. Splitting between words takes a tenth of the time
+    that extracting them does; it leaves an empty text before and after."""
+    return F.coalesce(F.array_remove(F.split(C.ascii_lower(text), BETWEEN), ""), F.array().cast("array<string>"))
 
 
 def _one_of(word: str, terms: list[str]) -> str:
