@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Fixed: the format of the elevation tiles' names.
 TILE = r"Copernicus_DSM_COG_10_([NS])(\d+)_00_([EW])(\d+)_00_DEM"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 LAND_SCHEMA = "lat_north int, lat_south int, land_km2 double"
 BYTES_PER_ROW = 30
-#: Mean area of a cell in km2 by resolution.
+#: Mean area of a cell in km2 by resolution.
 CELL_AREA_KM2 = {2: 86746.0, 3: 12393.0, 4: 1770.0, 5: 253.0, 6: 36.0, 7: 5.16, 8: 0.74, 9: 0.105}
 
 

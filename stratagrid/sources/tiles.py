@@ -50,9 +50,9 @@ def in_box(tiles: DataFrame, south: float, west: float, north: float, east: floa
     return tiles.filter((F.col("lat") >= south) & (F.col("lat") < north) & (F.col("lon") >= west) & (F.col("lon") < east))
 
 
-def source_of(name: Column, cached: Column | None = None) -> Column:
-    """Where a tile is read: a cached path if there is one, else its address."""
-    address = F.concat(F.lit("/vsicurl/https://copernicus-dem-30m.s3.amazonaws.com/"), name, F.lit("/"), name, F.lit(".tif"))
+def source_of(name: Column, root: str, cached: Column | None = None) -> Column:
+    """Where a tile is read: a cached path if there is one, else <root>/<name>/<name>.tif."""
+    address = F.concat(F.lit(root.rstrip("/") + "/"), name, F.lit("/"), name, F.lit(".tif"))
     return address if cached is None else F.coalesce(cached, address)
 
 

@@ -67,6 +67,12 @@ def test_pixels_of_files(spark, tmp_path):
     assert stored.first()["names"] == ["Copernicus_DSM_COG_10_N33_00_W119_00_DEM"]
 
 
+def test_source_of(spark):
+    df = spark.createDataFrame([("t1", None), ("t2", "/cache/t2.tif")], "name string, cached string")
+    got = [r[0] for r in df.select(tiles.source_of(F.col("name"), "s3a://tiles/", F.col("cached"))).collect()]
+    assert got == ["s3a://tiles/t1/t1.tif", "/cache/t2.tif"]
+
+
 def test_geojson(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"type":"FeatureCollection","features":[{"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1]]]}},{"geometry":{"type":"MultiPolygon","coordinates":[[[[2,2],[3,2]]],[[[4,4]]]]}},{"geometry":{"type":"Point","coordinates":[1,2]}}]}')
     got = [(r["feature"], r["part"], len(r["points"])) for r in tiles.geojson_rings(spark, str(tmp_path / "x.json")).orderBy("feature", "part").collect()]
