@@ -143,7 +143,7 @@ class Classifier:
         return float(np.mean(1.0 / (1.0 + np.exp(-np.clip(g, -30, 30)))))
 
 
-def nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, scale: np.ndarray, seed: int, epochs: int = 50, batch: int = 512, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, scale: np.ndarray, seed: int, epochs: int = 50, batch: int = 512, rate: float = 0.02, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear classifier on 0/1 rows, by Adam on the non-negative PU risk."""
     rng, n = np.random.default_rng(seed), positive.shape[1]
     w, b = scale.astype(np.float32), np.float32(-np.median(unlabelled @ scale.astype(np.float32)) - 1.0)
