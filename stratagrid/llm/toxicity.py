@@ -143,14 +143,15 @@ class Classifier:
         return float(np.mean(1.0 / (1.0 + np.exp(-np.clip(g, -30, 30)))))
 
 
-def nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, scale: np.ndarray, seed: int, epochs: int = 50, batch: int = 512, rate: float = 0.02, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear classifier on 0/1 rows, by Adam on the non-negative PU risk."""
+def nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, scale: np.ndarray, seed: int, updates: int = 600, batch: int = 512, rate: float = 0.02, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear classifier on 0/1 rows, by Adam on the non-negative PU risk. Whole passes over the
+    unlabelled rows make up ``updates`` steps or more, so that small samples are fitted as far as large ones."""
     rng, n = np.random.default_rng(seed), positive.shape[1]
     w, b = scale.astype(np.float32), np.float32(-np.median(unlabelled @ scale.astype(np.float32)) - 1.0)
     m, v = np.zeros(n + 1, dtype=np.float32), np.zeros(n + 1, dtype=np.float32)
     t = 0
     steps = max(1, -(-len(unlabelled) // batch))
-    for _ in range(epochs):
+    for _ in range(-(-updates // steps)):
         for part in np.array_split(rng.permutation(len(unlabelled)), steps):
             pick = rng.integers(0, len(positive), size=min(len(positive), max(32, batch // 4)))
             p, u = positive[pick], unlabelled[part]
