@@ -1,13 +1,14 @@
-"""Line deduplication: pairs of Bloom filters find the line keys seen twice; only those lines are shuffled.
+"""Line deduplication: Bloom filters find the line keys seen twice; only those lines are shuffled.
 
-1. Each task reads its documents and keeps two Bloom filters, one of keys seen once and one of keys seen twice. A key
+1. Each task reads its documents and keeps a Bloom filter of the keys seen and the exact set of those seen twice. A key
    leaves the task at its first and at its second sighting only, as 8 bytes of hash.
-2. The hashes meet by hash range, each range again with two filters of its own. A second sighting makes a suspect. The
-   filters have no false negatives, so every repeated key is a suspect; a false positive only adds one.
+2. The hashes meet by hash range, each range again with a filter and a set of its own. A second sighting makes a suspect.
+   The filter has no false negatives and never holds a suspect back, so every repeated key is a suspect; a false positive
+   only adds one.
 3. Suspected lines, and no others, are shuffled with their SHA-256 for the exact count of documents and the largest id.
 4. Keys in enough documents are written as sorted hash arrays that the last pass maps into memory.
 
-Filters are per task and per hash range and grow by layers, so their size follows a task's share, not the corpus.
+Filters and sets are per task and per hash range and grow by layers, so their size follows a task's share, not the corpus.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ class Bloom:
 
     def _positions(self, h: np.ndarray, log2: int) -> list[np.ndarray]:
         step = (h * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-        return [(h + np.uint64(i) * step) >> np.uint64(64 - log2) for i in range(self.PROBES)]
+        # Not from 0: the leading bits of the hashes of a range are equal.
+        return [(h + np.uint64(i) * step) >> np.uint64(64 - log2) for i in range(1, self.PROBES + 1)]
 
     def has(self, h: np.ndarray) -> np.ndarray:
         out = np.zeros(len(h), dtype=bool)
@@ -60,11 +62,35 @@ class Bloom:
                 np.bitwise_or.at(words, p >> np.uint64(6), np.uint64(1) << (p & np.uint64(63)))
 
 
+class HashSet:
+    """An exact set of 64-bit hashes, as sorted arrays of which each is over twice as long as the next."""
+
+    def __init__(self):
+        self.layers: list[np.ndarray] = []
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(h), dtype=bool)
+        for held in self.layers:
+            out |= held[np.minimum(np.searchsorted(held, h), len(held) - 1)] == h
+        return out
+
+    def add(self, h: np.ndarray) -> None:
+        """Adds distinct hashes that it doesn't hold yet."""
+        if len(h):
+            self.layers.append(np.sort(h))
+        while len(self.layers) > 1 and len(self.layers[-2]) <= 2 * len(self.layers[-1]):
+            self.layers[-2:] = [np.sort(np.concatenate(self.layers[-2:]))]
+
+    def all(self) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.uint64), *self.layers])
+
+
 class Sightings:
-    """What to pass on of a stream of hashes: each at its first sighting and again at its second one."""
+    """What to pass on of a stream of hashes: each at its first sighting and again at its second one. A false positive of
+    the filter takes a first sighting for a second one; nothing takes a second one for a later one."""
 
     def __init__(self):
-        self.once, self.twice = Bloom(), Bloom()
+        self.once, self.twice = Bloom(), HashSet()
 
     def see(self, h: np.ndarray, again: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The hashes that are new, and those seen a second time now (again: flags of hashes seen twice elsewhere)."""
@@ -124,13 +150,13 @@ def _sight_lines(least: int):
 
 def _gather_suspects(table: C.SortedTable):
     def run(batches):
-        seen, found, buckets = Sightings(), [], []
+        seen, buckets = Sightings(), []
         for batch in batches:
             h = batch.column(1).to_numpy().view(np.uint64)
             buckets.append(np.unique(batch.column(0).to_numpy()))
-            found.append(seen.see(h, batch.column(2).to_numpy(zero_copy_only=False))[1])
-        if found:
-            h = np.concatenate(found)
+            seen.see(h, batch.column(2).to_numpy(zero_copy_only=False))
+        if buckets:
+            h = seen.twice.all()
             where = (h >> np.uint64(64 - table.bits)).astype(np.int64) if table.bits else np.zeros(len(h), np.int64)
             for b in np.unique(np.concatenate(buckets)):
                 table.write_bucket(int(b), h[where == b])

@@ -61,3 +61,22 @@ def test_filters_have_no_false_negatives():
     seen = lines.Sightings()
     seconds = [seen.see(np.concatenate([part, h[:10]]))[1] for part in np.array_split(h[10:], 5)]
     assert set(h[:10]) <= set(np.concatenate(seconds))
+
+
+def test_no_second_sighting_is_held_back():
+    rng = np.random.default_rng(2)
+    for top in (0, 8):  # hashes of all ranges, and of one range
+        h = np.unique(rng.integers(0, 1 << 64, 300_000, dtype=np.uint64) >> np.uint64(top))
+        rng.shuffle(h)
+        seen, got = lines.Sightings(), []
+        for part in np.array_split(h, 20):
+            got.append(seen.see(part)[1])
+            got.append(seen.see(part)[1])
+            assert not len(seen.see(part)[1])
+        got = np.concatenate(got)
+        assert set(h) == set(got) and len(got) == len(h)
+        assert np.array_equal(np.sort(seen.twice.all()), np.sort(h))
+        assert seen.see(h[:9], np.ones(9, bool))[1].size == 0
+        # A mark from another task makes a suspect of a hash at its first sighting here.
+        fresh = np.setdiff1d(rng.integers(0, 1 << 63, 50_000, dtype=np.uint64), h)
+        assert set(seen.see(fresh, np.ones(len(fresh), bool))[1]) == set(fresh)
