@@ -1,12 +1,14 @@
 """License scans: phrases, and an exact set-similarity join of license templates with the corpus' text blocks.
 
-A block is a line, as the set of its words. A template is found in a block that holds at least a threshold of the
+A block is a line, as the set of its words; a scan can also take blocks across line ends, windows of twice as many words
+as the template has, for notices that wrap. A template is found in a block that holds at least a threshold of the
 template's distinct words. The join is exact and filters first:
 
 - order: words are ordered by how many blocks of the corpus hold them, rarest first, counted over all documents;
 - prefix: a block with enough words of a template holds one of the template's first n - need + 1 words in that order;
 - length: it has at least ``need`` words;
-- position: with the i-th word of the template the first one that it holds, at most n - i can be shared.
+- position: with the i-th word of the template the first one that it holds, at most n - i can be shared;
+- text: a window meets a template only if the whole text does, so windows are made for such texts and templates only.
 
 Templates are a parameter of known, small size; they and their inverted prefix lists go to every task, and blocks are
 joined where they are read, so no text is shuffled. Only counts of template words are.
@@ -48,17 +50,18 @@ def words_of(text: bytes) -> list[bytes]:
 
 @dataclass
 class Join:
-    """Templates as lists of words, rarest first, how many words each needs, and for each prefix word the templates and
-    places where it stands."""
+    """Templates as lists of words, rarest first, how many words each needs, the words of its windows, and for each prefix
+    word the templates and places where it stands."""
 
     names: list[str]
     ordered: list[list[bytes]]
     need: list[int]
+    reach: list[int]
     prefixes: dict[bytes, list[tuple[int, int]]]
 
     @classmethod
     def build(cls, templates: dict[str, str], counts: dict[bytes, int], threshold: float) -> Join:
-        names, ordered, need, prefixes = [], [], [], {}
+        names, ordered, need, reach, prefixes = [], [], [], [], {}
         for name, text in sorted(templates.items()):
             own = sorted(set(words_of(text.encode())), key=lambda w: (counts.get(w, 0), w))
             if not own:
@@ -69,7 +72,8 @@ class Join:
             names.append(name)
             ordered.append(own)
             need.append(least)
-        return cls(names, ordered, need, prefixes)
+            reach.append(2 * len(words_of(text.encode())))
+        return cls(names, ordered, need, reach, prefixes)
 
     def matches(self, block: list[bytes]) -> list[tuple[int, float]]:
         """(template, containment) of those that the block meets."""
@@ -89,6 +93,43 @@ class Join:
                 found.append((t, shared / n))
         return found
 
+    def across(self, lines: list[list[bytes]], met: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int, float]]:
+        """(template, first word, words, containment) of windows over line ends that meet a template. Of those that
+        overlap, the one that holds most, and none that holds no more than a line that it overlaps (met: such rows of
+        the lines). A window is cut to the words from which on and up to which it needs them."""
+        words = [w for line in lines for w in line]
+        line_of = [k for k, line in enumerate(lines) for _ in line]
+        out = []
+        for t, _ in self.matches(words):
+            wanted, need, best = set(self.ordered[t]), self.need[t], None
+            hits = [i for i, w in enumerate(words) if w in wanted]
+            own = [(first, first + n, share) for u, first, n, share in met if u == t]
+            to = 0
+            for k, start in enumerate(hits):
+                while to < len(hits) and hits[to] < start + self.reach[t]:
+                    to += 1
+                if to - k < need or line_of[start] == line_of[hits[to - 1]]:
+                    continue
+                held, end = {words[start]}, start
+                for i in hits[k + 1 : to]:
+                    if words[i] == words[start]:  # the next window holds no less
+                        break
+                    if words[i] not in held:
+                        held.add(words[i])
+                        end = i
+                else:
+                    share = len(held) / len(wanted)
+                    if len(held) < need or line_of[start] == line_of[end] or any(a <= end and start < b and share <= x for a, b, x in own):
+                        continue
+                    this = (t, start, end + 1 - start, share)
+                    if best is None or start >= best[1] + best[2]:
+                        out += [best] if best else []
+                        best = this
+                    elif (share, best[2]) > (best[3], this[2]):
+                        best = this
+            out += [best] if best else []
+        return out
+
 
 def _count(vocabulary: frozenset[bytes]):
     """Blocks that hold each of the words, summed per batch."""
@@ -113,7 +154,7 @@ FIELDS = (("n_words", T.LongType()), ("n_base", T.LongType()), ("first_word", T.
 _SPANS = T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("first", T.LongType()), T.StructField("words", T.LongType()), T.StructField("containment", T.DoubleType())]))
 
 
-def _scan(join: Join, phrases: dict[str, str], text_at: int, names: list[str]):
+def _scan(join: Join, phrases: dict[str, str], text_at: int, names: list[str], across_lines: bool):
     known = [(words_of(p.encode()), label) for p, label in phrases.items()]
     starts = {}
     for p, label in known:
@@ -130,11 +171,13 @@ def _scan(join: Join, phrases: dict[str, str], text_at: int, names: list[str]):
                     if words[i : i + len(p)] == p:
                         places.append(i)
                         base.add(label)
-        spans, at = [], 0
+        met, at = [], 0
         for line in lines:
-            for t, share in join.matches(line):
-                spans.append({"label": join.names[t], "first": at, "words": len(line), "containment": share})
+            met += [(t, at, len(line), share) for t, share in join.matches(line)]
             at += len(line)
+        if across_lines:
+            met += join.across(lines, met)
+        spans = [{"label": join.names[t], "first": first, "words": n, "containment": share} for t, first, n, share in met]
         labels = base | {s["label"] for s in spans}
         score = 1.0 if places else max((s["containment"] for s in spans), default=0.0)
         return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score, spans
@@ -150,11 +193,12 @@ def _scan(join: Join, phrases: dict[str, str], text_at: int, names: list[str]):
     return run
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, threshold: float = THRESHOLD, text_col: str = "text", across_lines: bool = False) -> DataFrame:
     """All columns of docs and: n_words, n_base (places of the phrases), first_word and last_word (their smallest and
     largest start, else null), base_labels and labels (the phrases', and these with the templates'; distinct, sorted,
     comma-joined), score (1 with a phrase, else the largest containment found, else 0) and spans (every block that meets
-    a template: label, first word, words of the block, containment).
+    a template: label, first word, words of the block, containment). Blocks are the lines and, if across_lines is set, the
+    windows over line ends that hold more of a template than the lines they overlap.
 
     Null and empty texts have no words, no labels and score 0. Texts are read whole. Input columns with the names of the
     new ones are replaced. An empty table gives none."""
@@ -168,17 +212,18 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, phra
     rest = [c for c in docs.columns if c not in {n for n, _ in FIELDS} | {"spans"}]
     given = docs.select(*[text.alias(c) if c == text_col else F.col(c) for c in rest])
     schema = T.StructType([*given.schema.fields, *(T.StructField(n, k) for n, k in FIELDS), T.StructField("spans", _SPANS)])
-    return given.mapInArrow(_scan(join, phrases, rest.index(text_col), schema.names), schema)
+    return given.mapInArrow(_scan(join, phrases, rest.index(text_col), schema.names, across_lines), schema)
 
 
 def op9_license_scan(spark, sf_dir: str) -> DataFrame:
-    """License notices in all documents."""
+    """License notices in all documents, wrapped ones too."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return scan_licenses(docs).select("doc_id", *[n for n, _ in FIELDS])
+    return scan_licenses(docs, across_lines=True).select("doc_id", *[n for n, _ in FIELDS])
 
 
 def oracle_sql() -> str:
-    """DuckDB SQL for op9: phrases by position, and containment of each line against each template, without filters."""
+    """DuckDB SQL for op9: phrases by position, and containment of each line against each template, without filters.
+    It has no windows over line ends, so it agrees with op9 on texts without wrapped notices."""
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     word = r"'[0-9a-z\x{80}-\x{10FFFF}]+'"
     text = lower.format("coalesce(text, '')")

@@ -55,3 +55,48 @@ def test_spans_and_empty(spark, no_docs):
     assert licenses.scan_licenses(no_docs).count() == 0
     row = licenses.scan_licenses(spark.createDataFrame([(1, "two words\nReleased under the MIT License.")], "doc_id long, text string")).first()
     assert [tuple(s) for s in row["spans"]] == [("mit", 2, 5, 1.0)] and row["labels"] == "mit" and row["n_base"] == 0
+
+
+WRAPPED = {
+    "bsd": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that",
+    "mpl": "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy",
+    "mit": "It is released under\ndnl the MIT\ndnl License",
+    "apache": "Licensed under the\n\nApache License, Version\n2.0",
+}
+
+
+def test_wrapped_notices(spark, tmp_path):
+    rows = [(i, f"some text before\n{t}\nand after") for i, t in enumerate(WRAPPED.values())]
+    rows += [(10, "released\n" + "w " * 20 + "\nunder the mit license"), (11, "the\nReleased under the MIT License.\nreleased"), (12, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.op9_license_scan(spark, str(tmp_path)).collect()}
+    want = dict(enumerate((name, 1.0) for name in WRAPPED)) | {10: ("", 0.0), 11: ("mit", 1.0), 12: ("", 0.0)}
+    assert got == want
+    spans = licenses.scan_licenses(spark.createDataFrame(rows[2:3] + rows[5:6], "doc_id long, text string"), across_lines=True).collect()
+    assert {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in spans} == {2: [("mit", 5, 7, 1.0)], 11: [("mit", 1, 5, 1.0)]}
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.9])
+def test_windows_are_exact(spark, threshold):
+    rng = random.Random(4)
+    rows = []
+    for i in range(150):
+        some = rng.choice(list(licenses.TEMPLATES.values())).split() + ["x", "y", "the"]
+        rows.append((i, "\n".join(" ".join(rng.choice(some) for _ in range(rng.choice([0, 1, 3, 6]))) for _ in range(8))))
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), threshold=threshold, phrases={}, across_lines=True).collect()}
+    more = 0
+    for i, text in rows:
+        w, best, found = words(text), 0.0, set()
+        for name, t in licenses.TEMPLATES.items():
+            want, n = set(words(t)), 2 * len(words(t))
+            blocks = [words(x) for x in text.split("\n")] + [w[k : k + n] for k in range(len(w))]
+            share = max(len(want & set(b)) / len(want) for b in blocks)
+            if share >= threshold - 1e-9:
+                found.add(name)
+                best = max(best, share)
+        assert (got[i]["labels"], got[i]["score"]) == (",".join(sorted(found)), pytest.approx(best)), text
+        for s in got[i]["spans"]:
+            want = set(words(licenses.TEMPLATES[s["label"]]))
+            assert len(want & set(w[s["first"] : s["first"] + s["words"]])) / len(want) == pytest.approx(s["containment"])
+        more += len(found) > 0
+    assert more > 10
