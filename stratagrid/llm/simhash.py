@@ -221,7 +221,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) of every row: its fingerprint, and the smallest id that links lead to, its own included.
+    """(doc_id, fp, component_id, root) of every row: its fingerprint, the smallest id that links lead to, its own included,
+    and a fingerprint that names the component, also where ids repeat or are missing.
 
     Null, empty and blank texts have fingerprint 0 and are linked like any other. Texts of fewer words than a shingle
     are one shingle. Equal fingerprints are one node, so copies are never paired. Rows without an id take part but give
@@ -234,8 +235,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = components(edges)
     rooted = distinct.join(nodes, distinct.fp == nodes.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = C.materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
-    table = C.materialize(rooted.select("fp", "root").join(ids, "root").select("fp", "component_id"), "component-of")
-    return prints.join(table, "fp").select("doc_id", "fp", "component_id")
+    table = C.materialize(rooted.select("fp", "root").join(ids, "root").select("fp", "component_id", "root"), "component-of")
+    return prints.join(table, "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

@@ -33,11 +33,11 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates (of rows that share it, one). Groups of rows
-    without any id keep one of them."""
+    """The document with the smallest id of each group of near duplicates (of a group's rows that share it, one). Groups of
+    rows without any id keep one of them."""
     found = C.materialize(simhash.near_duplicates(docs), "near-duplicate-groups")
     # Rows to drop are told by (id, fingerprint); most are few enough for Spark to broadcast, else they are joined.
-    keep = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n"))
+    keep = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     unnamed = found.filter(F.col("component_id").isNull()).agg(F.count(F.lit(1)).alias("n")).first()["n"]
     gone = C.materialize(found.filter(~F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)) & F.col("component_id").isNotNull()).select("doc_id", "fp").distinct(), "near-duplicates")
     marked = simhash.with_fingerprint(_packed_rows(docs), name="fp")
@@ -48,9 +48,11 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
         return left.select(f"{ROW}.*")
     left = C.materialize(left.select(ROW, "doc_id", "fp"), "near-duplicate-rows")
     single = left.join(repeated, "doc_id", "left_anti").filter(F.col("doc_id").isNotNull())
-    several = left.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(ROW).alias(ROW))
-    nameless = left.filter(F.col("doc_id").isNull()).groupBy("fp").agg(F.min(ROW).alias(ROW))
-    return single.select(f"{ROW}.*").unionByName(several.select(f"{ROW}.*")).unionByName(nameless.select(f"{ROW}.*"))
+    # An id can stand in several groups, and each of them keeps a row.
+    roots = found.join(repeated, "doc_id", "left_semi").unionByName(found.filter(F.col("component_id").isNull())).select("fp", "root").distinct()
+    thinned = left.join(repeated, "doc_id", "left_semi").unionByName(left.filter(F.col("doc_id").isNull()))
+    several = thinned.join(roots, "fp").groupBy("doc_id", "root").agg(F.min(ROW).alias(ROW))
+    return single.select(f"{ROW}.*").unionByName(several.select(f"{ROW}.*"))
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

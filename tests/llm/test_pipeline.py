@@ -61,6 +61,18 @@ def test_odd_rows_pass_each_stage(spark):
     assert stages.packed(docs).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
 
 
+def test_each_group_of_a_repeated_id_keeps_a_row(spark):
+    base = [f"w{i}" for i in range(600)]
+    near = next(t for k in range(600) if 0 < (slow_fingerprint(t := " ".join([*base[:k], "other", *base[k + 1 :]])) ^ slow_fingerprint(" ".join(base))).bit_count() <= 3)
+    a, b, c = " ".join(base), " ".join(f"x{i}" for i in range(600)), " ".join(f"y{i}" for i in range(600))
+    rows = [(5, a), (5, near), (5, b), (6, b), (7, a), (7, c), (8, c), (9, "alone")] + [(None, t) for t in ("no id " + c[::-1], "no id " + b[::-1], b)]
+    docs = spark.createDataFrame([(d, t, "x", "s", 1) for d, t in rows], DOCS)
+    kept = [(r["doc_id"], r["text"]) for r in stages.one_of_each_group(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(5, min(a, near)), (5, b), (7, c), (9, "alone"), *rows[8:10]], key=str)
+    nameless = spark.createDataFrame([(None, t, "x", "s", 1) for t in (a, near, c)], DOCS)
+    assert sorted(r["text"] for r in stages.one_of_each_group(nameless).collect()) == sorted([min(a, near), c])
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
     labels = spark.createDataFrame([], "doc_id long, toxic int")
