@@ -11,6 +11,9 @@ counts, whatever its size. On the driver, over that histogram:
    configuration into a few runs of bins that are filled alike;
 4. short pieces go, longest first, to the run with the smallest gap that takes them.
 
+Few groups lose space by rounding; the short pieces fill what is lost, if enough pieces count as short. How many do that
+depends on the lengths, so the plan is made for several edges between short and large, and the best of them is taken.
+
 The plan says for each length which ranks go to which bins and at which offset. It has some thousands of intervals, a
 number that depends on the capacity and not on the corpus, and is joined to the ranked pieces as a broadcast.
 """
@@ -18,6 +21,8 @@ number that depends on the capacity and not on the corpus, and is joined to the
 from __future__ import annotations
 
 import base64
+import json
+import re
 from collections import defaultdict
 from dataclasses import dataclass, field
 
@@ -33,20 +38,24 @@ from . import common as C
 
 
 class Tokens:
-    """Token ids by the vocabulary of ``json_path``. Where a text has Latin-1 characters only, the same vocabulary as a
-    rank file (``ranks_path``) gives the same ids several times faster; tests compare both."""
+    """Token ids by the vocabulary of ``json_path``, without the special tokens that it would add around a text; names
+    of its tokens that stand in a text are those tokens. Where a text has Latin-1 characters and no such name, the same
+    vocabulary as a rank file (``ranks_path``) gives the same ids several times faster; tests compare both."""
 
     def __init__(self, json_path: str, ranks_path: str | None = None, pattern: str | None = None):
-        self.json_path, self.slow, self.fast = json_path, None, None
+        self.json_path, self.slow, self.fast, self.named = json_path, None, None, None
         if ranks_path:
             import tiktoken
 
+            with open(json_path, "rb") as file:
+                named = [t["content"] for t in json.load(file)["added_tokens"]]
+            self.named = re.compile("|".join(map(re.escape, named))) if named else None
             with open(ranks_path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if self.fast is not None:
+        if self.fast is not None and not (self.named and self.named.search(text)):
             try:
                 text.encode("latin-1")
                 return np.array(self.fast.encode_ordinary(text), dtype="<u4")
@@ -56,7 +65,6 @@ class Tokens:
             from tokenizers import Tokenizer
 
             self.slow = Tokenizer.from_file(self.json_path)
-            self.slow.encode_special_tokens = True  # their names in a text are ordinary text
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
@@ -95,6 +103,11 @@ def _cut(capacity: int, end_id: int, vocabulary: tuple[str, ...]):
 
 # ---- the plan ----------------------------------------------------------------------------------------------------
 
+#: Groups of large lengths, so the number of sizes that configurations are made of.
+GROUPS = 64
+#: Shares of the capacity up to which pieces are small.
+SMALL = (1 / 16, 1 / 4, 1 / 2)
+
 
 @dataclass
 class Run:
@@ -149,8 +162,11 @@ def _complement(space: int, sizes: list[tuple[int, int]]) -> list[tuple[int, int
     return list(uses.items())
 
 
-def plan(histogram: dict[int, int], capacity: int, groups: int = 512, small: float = 0.0625) -> list[Run]:
-    """Runs of bins that hold ``histogram[length]`` pieces of each length."""
+def plan(histogram: dict[int, int], capacity: int, groups: int = GROUPS, small: float | tuple[float, ...] = SMALL) -> list[Run]:
+    """Runs of bins that hold ``histogram[length]`` pieces of each length; of several edges between large and small
+    pieces, those of the one that needs the fewest bins."""
+    if isinstance(small, tuple):
+        return min((plan(histogram, capacity, groups, s) for s in small), key=lambda runs: sum(r.count for r in runs))
     runs, ranks = [], defaultdict(int)
     if full := histogram.get(capacity, 0):
         runs.append(Run(full, 0, [(capacity, 0)]))
@@ -248,7 +264,7 @@ class Packed:
             "sequence_id", "n_tokens", F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["ids"])).alias("ids"))
 
 
-def pack(docs: DataFrame, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", vocabulary: tuple[str, ...] | None = None) -> Packed:
+def pack(docs: DataFrame, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", vocabulary: tuple[str, ...] | None = None, groups: int = GROUPS, small: float | tuple[float, ...] = SMALL) -> Packed:
     """Cuts each document's tokens and end id into pieces of at most ``capacity`` and packs them into sequences.
 
     Only documents longer than the capacity are cut; their first piece takes the remainder. Null and empty texts are a
@@ -264,7 +280,7 @@ def pack(docs: DataFrame, capacity: int = 1024, end_id: int = 2, id_col: str = "
     per_task = C.materialize(pieces.groupBy("length", "part").count(), "lengths")
     histogram = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     before = per_task.select("length", "part", (F.sum("count").over(Window.partitionBy("length").orderBy("part")) - F.col("count")).alias("before"))
-    steps = intervals(plan(histogram, capacity)) or [(0, 0, 0, 0, 0)]
+    steps = intervals(plan(histogram, capacity, groups, small)) or [(0, 0, 0, 0, 0)]
     table = spark.createDataFrame(steps, "length long, lo long, hi long, base long, offset long")
     ranked = pieces.drop("ids").join(before, ["length", "part"]).withColumn("rank", F.col("before") + F.col("nth")).alias("p")
     here = (F.col("p.length") == F.col("t.length")) & (F.col("p.rank") >= F.col("t.lo")) & (F.col("p.rank") < F.col("t.hi"))

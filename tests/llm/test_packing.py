@@ -93,3 +93,56 @@ def test_odd_rows(odd_docs, slow):
 
 def test_empty(no_docs):
     assert packing.pack(no_docs).placed.count() == 0
+
+
+@pytest.fixture(scope="module")
+def given_tokenizer():
+    """As its file gives it."""
+    return Tokenizer.from_file(packing.public_vocabulary()[0])
+
+
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "<|endoftext|>", "é<|endoftext|><|endoftext|>x", "語 <|endoftext|> b", "<|endoftext|", "x<|endoftext|>\n\nit's"])
+def test_names_of_tokens_in_texts(given_tokenizer, tokens, text):
+    want = given_tokenizer.encode(text, add_special_tokens=False).ids
+    assert tokens.ids(text).tolist() == want
+    assert packing.Tokens(packing.public_vocabulary()[0]).ids(text).tolist() == want
+
+
+def by_hand(tokenizer, rows, capacity=1024):
+    """Sorted (doc_id, piece, start, length, crc32 of ids) of rows (doc_id, text)."""
+    out = []
+    for doc_id, text in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        n = len(ids)
+        first = n if n <= capacity else n % capacity or capacity
+        cuts = [0, *range(first, n, capacity), n]
+        out += [(doc_id or 0, i, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    return sorted(out)
+
+
+def test_query(spark, sf_dir, given_tokenizer):
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    got = packing.op3_best_fit_packing(spark, sf_dir)
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    rows = got.collect()
+    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == by_hand(given_tokenizer, docs)
+    used = check([(r["sequence_id"], r["offset"], r["length"]) for r in rows], 1024)
+    assert used <= 1.02 * sum(r["length"] for r in rows) / 1024 + 1
+
+
+def test_repeated_rows_and_clashing_names(spark, given_tokenizer):
+    docs = [(1, "a <|endoftext|> b"), (1, "a <|endoftext|> b"), (None, None), (2, "word " * 3000), (2, "other")]
+    df = spark.createDataFrame([(d, t, "x", 7, 8.0, "n") for d, t in docs], "doc_id long, text string, piece string, length long, part double, nth string")
+    rows = packing.pack(df).placed.collect()
+    assert sorted((r["doc_id"] or 0, r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == by_hand(given_tokenizer, docs)
+    check([(r["sequence_id"], r["offset"], r["length"]) for r in rows], 1024)
+
+
+@pytest.mark.parametrize("groups", [32, 64, 512])
+def test_few_groups_lose_little(groups):
+    rng = random.Random(groups)
+    h = {}
+    for _ in range(200_000):
+        s = min(1024, int(rng.expovariate(1 / 400)) + 1)
+        h[s] = h.get(s, 0) + 1
+    assert sum(r.count for r in packing.plan(h, 1024, groups)) <= 1.002 * sum(s * k for s, k in h.items()) / 1024 + 1
