@@ -220,23 +220,25 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 # ---- the operator ------------------------------------------------------------------------------------------------
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, fp, component_id, root) of every row: its fingerprint, the smallest id that links lead to, its own included,
-    and a fingerprint that names the component, also where ids repeat or are missing.
+    and a fingerprint that names the component, also where ids repeat or are missing. Columns named in carry (not one of
+    these or text) come along.
 
     Null, empty and blank texts have fingerprint 0 and are linked like any other. Texts of fewer words than a shingle
     are one shingle. Equal fingerprints are one node, so copies are never paired. Rows without an id take part but give
     no smallest id; a component without any id has a null one. Rows that repeat an id stay rows. An empty table gives
     none. Texts are read whole.
     """
-    prints = C.materialize(with_fingerprint(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), words=words).select("doc_id", "fp"), "fingerprints")
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
+    prints = C.materialize(with_fingerprint(given, words=words).select("doc_id", "fp", *carry), "fingerprints")
     distinct = C.materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     edges = C.materialize(links(distinct, radius), "links")
     nodes = components(edges)
     rooted = distinct.join(nodes, distinct.fp == nodes.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = C.materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
     table = C.materialize(rooted.select("fp", "root").join(ids, "root").select("fp", "component_id", "root"), "component-of")
-    return prints.join(table, "fp").select("doc_id", "fp", "component_id", "root")
+    return prints.join(table, "fp").select("doc_id", "fp", "component_id", "root", *carry)
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

@@ -2,67 +2,85 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
 from . import decontamination, lines, packing, simhash, toxicity
 
-#: A whole input row rides along under this name, so that no column of the input can clash with an operator's.
+#: All columns of an input row but its text ride along under this name, so that none can clash with an operator's and
+#: a text goes to Python once.
 ROW = "__row"
 
 
 def _packed_rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return docs.select(rest.alias(ROW), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _unpacked(docs: DataFrame, **own: Column) -> list[Column]:
+    """The columns of docs from a packed row; own: columns that were made anew."""
+    own = {"text": F.col("text").cast(docs.schema["text"].dataType)} | own
+    return [own[c].alias(c) if c in own else F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns]
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that the classifier doesn't call toxic. It is trained on these documents and the labels."""
     model = toxicity.train_on_labels(docs.select("doc_id", "text"), labels)
     scored = toxicity.score(_packed_rows(docs), model)
-    return scored.filter("predicted = 0").select(f"{ROW}.*")
+    return scored.filter("predicted = 0").select(*_unpacked(docs))
 
 
 def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     """All documents, with their texts (and n_chars, where it is a column) after line deduplication."""
     kept = lines.drop_repeated_lines(_packed_rows(docs))
-    own = {"text": F.col("text")}
+    own = {}
     if "n_chars" in docs.columns:
         own["n_chars"] = F.when(F.col("n_dropped") > 0, F.char_length("text")).otherwise(F.col(f"{ROW}.n_chars")).cast(docs.schema["n_chars"].dataType)
-    return kept.select(*[own[c].alias(c) if c in own else F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns])
+    return kept.select(*_unpacked(docs, **own))
+
+
+def _text_keys() -> tuple[Column, Column]:
+    """Two hashes that stand for a text; a null text has those of no other."""
+    text = F.col("text").cast("string")
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The document with the smallest id of each group of near duplicates (of a group's rows that share it, one). Groups of
     rows without any id keep one of them."""
-    found = C.materialize(simhash.near_duplicates(docs), "near-duplicate-groups")
-    # Rows to drop are told by (id, fingerprint); most are few enough for Spark to broadcast, else they are joined.
+    h, g = _text_keys()
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), h.alias("h"), g.alias("g"))
+    found = C.materialize(simhash.near_duplicates(keyed, carry=("h", "g")), "near-duplicate-groups")
+    # Rows to drop are told by id and text; most are few enough for Spark to broadcast, else they are joined.
     keep = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     unnamed = found.filter(F.col("component_id").isNull()).agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    gone = C.materialize(found.filter(~F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)) & F.col("component_id").isNotNull()).select("doc_id", "fp").distinct(), "near-duplicates")
-    marked = simhash.with_fingerprint(_packed_rows(docs), name="fp")
-    same = marked["doc_id"].eqNullSafe(gone["doc_id"]) & (marked["fp"] == gone["fp"])
+    gone = found.filter(~F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)) & F.col("component_id").isNotNull())
+    gone = C.materialize(gone.select(F.col("doc_id").alias("__doc_id"), F.col("h").alias("__h"), F.col("g").alias("__g")).distinct(), "near-duplicates")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = docs.select(row.alias(ROW), F.col("doc_id").cast("long").alias("doc_id"), h.alias("h"), g.alias("g"))
+    same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("h") == F.col("__h")) & (F.col("g") == F.col("__g"))
     left = marked.join(gone, same, "left_anti")
     repeated = C.materialize(keep.filter("n > 1").select("doc_id"), "repeated-ids")
     if repeated.isEmpty() and not unnamed:
         return left.select(f"{ROW}.*")
-    left = C.materialize(left.select(ROW, "doc_id", "fp"), "near-duplicate-rows")
+    left = C.materialize(left, "near-duplicate-rows")
     single = left.join(repeated, "doc_id", "left_anti").filter(F.col("doc_id").isNotNull())
     # An id can stand in several groups, and each of them keeps a row.
-    roots = found.join(repeated, "doc_id", "left_semi").unionByName(found.filter(F.col("component_id").isNull())).select("fp", "root").distinct()
+    roots = found.join(repeated, "doc_id", "left_semi").unionByName(found.filter(F.col("component_id").isNull())).select("h", "g", "root").distinct()
     thinned = left.join(repeated, "doc_id", "left_semi").unionByName(left.filter(F.col("doc_id").isNull()))
-    several = thinned.join(roots, "fp").groupBy("doc_id", "root").agg(F.min(ROW).alias(ROW))
+    several = thinned.join(roots, ["h", "g"]).groupBy("doc_id", "root").agg(F.min(ROW).alias(ROW))
     return single.select(f"{ROW}.*").unionByName(several.select(f"{ROW}.*"))
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents in which no window of a benchmark item occurs. Whether one does depends on the text alone, so texts
     that have one are known by two hashes."""
-    hashed = docs.select(F.col("text").cast("string").alias("text")).select("text", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g"))
+    h, g = _text_keys()
+    hashed = docs.select(F.col("text").cast("string").alias("text"), h.alias("h"), g.alias("g"))
     found = decontamination.contamination(hashed, benchmark, id_cols=("h", "g"))
     bad = C.materialize(found.filter("contaminated").select(F.col("h").alias("__h"), F.col("g").alias("__g")).distinct(), "contaminated")
-    text = F.col("text").cast("string")
-    same = (F.xxhash64(text) == F.col("__h")) & (F.xxhash64(F.lit(1), text) == F.col("__g"))
+    same = (h == F.col("__h")) & (g == F.col("__g"))
     return docs.join(bad, same, "left_anti")
 
 
