@@ -1,101 +1,181 @@
-"""The grid kernel as Arrow-batched functions of columns, and its registration for SQL."""
+"""The grid kernel as Arrow functions of columns, and its registration for SQL.
+
+Points without coordinates, or with coordinates that aren't finite, have no cell; null, and ids that aren't a cell's, have
+no centre, outline or neighbours. Such rows give null, and the kernel isn't called on them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import bits, grid
+
+LATLNG = T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lng", T.DoubleType())])
+#: A cell that stands in for what isn't one, so that whole columns of plain numbers reach the kernel.
+_ANY = (1 << 59) | ((1 << 45) - 1)
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """Doubles; NaN for null."""
+    return np.asarray(column.cast(pa.float64()).to_numpy(zero_copy_only=False), dtype=float)
+
+
+def _ids(column: pa.Array) -> np.ndarray:
+    return column.fill_null(_ANY).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _where(cell: Column) -> Column:
+    return cell.isNotNull() & bits.is_valid(cell)
+
+
+def _of_cells(f: Callable[[Column], Column], cell: Column) -> Column:
+    """f of the cells in a column, and null of what isn't a cell."""
+    good = _where(cell)
+    return F.when(good, f(F.when(good, cell).otherwise(F.lit(_ANY).cast("long"))))
 
-from . import grid
 
-LATLNG = "struct<lat: double, lng: double>"
+def _cells(lat: np.ndarray, lng: np.ndarray, res: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cells, and which points have none."""
+    good = np.isfinite(lat) & np.isfinite(lng)
+    out = np.zeros(len(lat), dtype=np.int64)
+    out[good] = grid.latlng_to_cell(lat[good], lng[good], res)
+    return out, ~good
 
 
 def latlng_to_cell(lat: Column, lng: Column, res: int) -> Column:
     """The cell of a point in degrees; null where a coordinate is missing or not finite."""
 
-    @F.pandas_udf("long")
-    def cell(lat: pd.Series, lng: pd.Series) -> pd.Series:
-        good = np.isfinite(lat.to_numpy(dtype=float)) & np.isfinite(lng.to_numpy(dtype=float))
-        out = pd.Series(pd.NA, index=lat.index, dtype="Int64")
-        out[good] = grid.latlng_to_cell(lat[good], lng[good], res)
-        return out
+    @F.arrow_udf(T.LongType())
+    def cell(lat: pa.Array, lng: pa.Array) -> pa.Array:
+        out, none = _cells(_numbers(lat), _numbers(lng), res)
+        return pa.array(out, mask=none)
 
     return cell(lat, lng)
 
 
 def latlng_to_cells(lat: Column, lng: Column, resolutions: tuple[int, ...]) -> Column:
-    """The cells of a point at several resolutions, each found from the point itself, as an array of (res, h3_cell).
-    One transfer to Python serves them all."""
+    """The cells of a point at several resolutions, each found from the point itself, as an array of (res, h3_cell); null
+    where a coordinate is missing or not finite. One transfer to Python serves them all."""
 
-    @F.pandas_udf("array<long>")
-    def cells(lat: pd.Series, lng: pd.Series) -> pd.Series:
-        return pd.Series(list(np.stack([grid.latlng_to_cell(lat, lng, r) for r in resolutions], axis=1)))
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def cells(lat: pa.Array, lng: pa.Array) -> pa.Array:
+        at = _numbers(lat), _numbers(lng)
+        each = [_cells(*at, r) for r in resolutions]
+        flat = np.stack([out for out, _ in each], axis=1).ravel()
+        starts = np.arange(0, len(flat) + 1, len(resolutions), dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(starts, mask=np.r_[each[0][1], False]), pa.array(flat))
 
     own = cells(lat, lng)
     return F.transform(F.arrays_zip(F.array(*[F.lit(r) for r in resolutions]).alias("res"), own.alias("h3_cell")), lambda x: F.struct(x["res"].alias("res"), x["h3_cell"].alias("h3_cell")))
 
 
-def cell_to_latlng(cell: Column) -> Column:
-    """The centre, as (lat, lng) in degrees."""
+@F.arrow_udf(LATLNG)
+def _centre(cell: pa.Array) -> pa.Array:
+    lat, lng = grid.cell_to_latlng(_ids(cell))
+    return pa.StructArray.from_arrays([pa.array(lat), pa.array(lng)], names=["lat", "lng"])
 
-    @F.pandas_udf(LATLNG)
-    def centre(cell: pd.Series) -> pd.DataFrame:
-        lat, lng = grid.cell_to_latlng(cell.to_numpy(dtype=np.int64))
-        return pd.DataFrame({"lat": lat, "lng": lng})
 
-    return centre(cell)
+@F.arrow_udf(T.ArrayType(LATLNG))
+def _outline(cell: pa.Array) -> pa.Array:
+    lat, lng, starts = grid.outlines(_ids(cell))
+    return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.StructArray.from_arrays([pa.array(lat), pa.array(lng)], names=["lat", "lng"]))
 
 
-def cell_to_boundary(cell: Column) -> Column:
-    """The outline, as an array of (lat, lng)."""
+@F.arrow_udf(T.DoubleType())
+def _south(cell: pa.Array) -> pa.Array:
+    return pa.array(grid.cell_bounds(_ids(cell))[0])
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _disk(cell: pa.Array, k: pa.Array) -> pa.Array:
+    ids, steps = _ids(cell), k.fill_null(0).to_numpy(zero_copy_only=False)
+    lists = np.empty(len(ids), dtype=object)
+    for n in np.unique(steps):
+        m = np.flatnonzero(steps == n)
+        held, starts = grid.disks(ids[m], int(n))
+        for i, lo, hi in zip(m, starts[:-1], starts[1:], strict=True):
+            lists[i] = held[lo:hi]
+    counts = np.array([len(x) for x in lists], dtype=np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *lists])))
 
-    @F.pandas_udf(f"array<{LATLNG}>")
-    def outline(cell: pd.Series) -> pd.Series:
-        return pd.Series([[{"lat": a, "lng": b} for a, b in o] for o in grid.cell_to_boundary(cell.to_numpy(dtype=np.int64))])
 
-    return outline(cell)
+def cell_to_latlng(cell: Column) -> Column:
+    """The centre, as (lat, lng) in degrees."""
+    return _of_cells(_centre, cell)
+
+
+def cell_to_boundary(cell: Column) -> Column:
+    """The outline, as an array of (lat, lng)."""
+    return _of_cells(_outline, cell)
 
 
 def cell_south(cell: Column) -> Column:
     """The southern extent of a cell's outline in degrees."""
-    return F.array_min(F.transform(cell_to_boundary(cell), lambda v: v["lat"]))
+    return _of_cells(_south, cell)
 
 
-def grid_disk(cell: Column, k: int) -> Column:
+def grid_disk(cell: Column, k: int | Column) -> Column:
     """Cells at most k steps away."""
+    steps = F.lit(k) if isinstance(k, int) else k
+    return F.when(steps.isNotNull(), _of_cells(lambda c: _disk(c, steps.cast("int")), cell))
 
-    @F.pandas_udf("array<long>")
-    def disk(cell: pd.Series) -> pd.Series:
-        return pd.Series([grid.grid_disk(c, k) for c in cell])
 
-    return disk(cell)
+def _valid(ids: np.ndarray) -> np.ndarray:
+    """Whether ids are cells: their mode, base, digits up to the resolution and none below it, and no digit in the sixth
+    that a pentagon lacks."""
+    res, base = grid.resolution(ids), grid.base_cell(ids)
+    good, leading = (ids >> 59 == 1) & (ids >> 56 & 7 == 0) & (base < 122), np.zeros(len(ids), dtype=np.int64)
+    for r in range(1, 16):
+        digit = ids >> (45 - 3 * r) & 7
+        good &= np.where(r <= res, digit < 7, digit == 7)
+        leading = np.where((leading == 0) & (r <= res), digit, leading)
+    return good & ~(grid.IS_PENTAGON[np.minimum(base, 121)] & (leading == 1))
 
 
 def register(spark: SparkSession) -> None:
-    """Makes the kernel callable from SQL: cell_of(lat, lng, res), cell_centre(cell), cell_outline(cell), cell_disk(cell, k)."""
-
-    @F.pandas_udf("long")
-    def cell_of(lat: pd.Series, lng: pd.Series, res: pd.Series) -> pd.Series:
-        out = np.zeros(len(lat), dtype=np.int64)
-        for r in res.unique():
-            m = (res == r).to_numpy()
-            out[m] = grid.latlng_to_cell(lat[m], lng[m], int(r))
-        return pd.Series(out)
-
-    @F.pandas_udf(LATLNG)
-    def cell_centre(cell: pd.Series) -> pd.DataFrame:
-        lat, lng = grid.cell_to_latlng(cell.to_numpy(dtype=np.int64))
-        return pd.DataFrame({"lat": lat, "lng": lng})
-
-    @F.pandas_udf(f"array<{LATLNG}>")
-    def cell_outline(cell: pd.Series) -> pd.Series:
-        return pd.Series([[{"lat": a, "lng": b} for a, b in o] for o in grid.cell_to_boundary(cell.to_numpy(dtype=np.int64))])
-
-    @F.pandas_udf("array<long>")
-    def cell_disk(cell: pd.Series, k: pd.Series) -> pd.Series:
-        return pd.Series([grid.grid_disk(c, int(n)) for c, n in zip(cell, k, strict=True)])
+    """Makes the kernel callable from SQL: cell_of(lat, lng, res), cell_centre(cell), cell_outline(cell), cell_disk(cell, k).
+    They give null where the functions of columns do, and for a resolution or a number of steps that is missing or out
+    of range."""
+
+    def masked(array: pa.Array, none: np.ndarray) -> pa.Array:
+        return pa.compute.if_else(pa.array(none), pa.scalar(None, array.type), array)
+
+    def cells_of(cell: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        ids = _ids(cell)
+        good = _valid(ids) & ~np.asarray(cell.is_null())
+        return pa.array(np.where(good, ids, _ANY)), ~good
+
+    @F.arrow_udf(T.LongType())
+    def cell_of(lat: pa.Array, lng: pa.Array, res: pa.Array) -> pa.Array:
+        at, steps = (_numbers(lat), _numbers(lng)), res.fill_null(-1).to_numpy(zero_copy_only=False)
+        out, none = np.zeros(len(steps), dtype=np.int64), np.ones(len(steps), dtype=bool)
+        for r in np.unique(steps[(steps >= 0) & (steps <= 15)]):
+            m = steps == r
+            out[m], none[m] = _cells(at[0][m], at[1][m], int(r))
+        return pa.array(out, mask=none)
+
+    @F.arrow_udf(LATLNG)
+    def cell_centre(cell: pa.Array) -> pa.Array:
+        own, none = cells_of(cell)
+        return masked(_centre.func(own), none)
+
+    @F.arrow_udf(T.ArrayType(LATLNG))
+    def cell_outline(cell: pa.Array) -> pa.Array:
+        own, none = cells_of(cell)
+        return masked(_outline.func(own), none)
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def cell_disk(cell: pa.Array, k: pa.Array) -> pa.Array:
+        own, none = cells_of(cell)
+        steps = k.fill_null(-1).to_numpy(zero_copy_only=False)
+        return masked(_disk.func(own, pa.array(np.maximum(steps, 0))), none | (steps < 0))
 
     for f in (cell_of, cell_centre, cell_outline, cell_disk):
         spark.udf.register(f.__name__, f)

@@ -85,3 +85,37 @@ def test_udfs(spark):
     grid_udfs.register(spark)
     assert spark.sql("SELECT cell_of(37.3615593D, -122.0553238D, 5)").first()[0] == 0x85283473FFFFFFF
     assert len(spark.sql(f"SELECT cell_disk({0x85283473FFFFFFF}L, 1)").first()[0]) == 7
+
+
+def test_rows_that_have_no_cell(spark):
+    """Nulls, NaN, infinities and ids that aren't cells give null, and don't disturb the rows beside them."""
+    cell = 0x85283473FFFFFFF
+    at = [(37.3615593, -122.0553238), (None, 1.0), (1.0, None), (float("nan"), 2.0), (2.0, float("inf")), (float("-inf"), 2.0)]
+    points = spark.createDataFrame(at, "lat double, lon double").coalesce(1)
+    many = [r[0] for r in points.select(grid_udfs.latlng_to_cells(F.col("lat"), F.col("lon"), (4, 5))).collect()]
+    assert many[0][1]["h3_cell"] == cell and all(m is None or all(x["h3_cell"] is None for x in m) for m in many[1:])
+    grid_udfs.register(spark)
+    points.createOrReplaceTempView("odd_points")
+    assert [r[0] for r in spark.sql("SELECT cell_of(lat, lon, 5) FROM odd_points").collect()] == [cell] + [None] * 5
+    assert [r[0] for r in spark.sql("SELECT cell_of(37.0D, -122.0D, r) FROM VALUES (CAST(NULL AS INT)), (-1), (16) AS t(r)").collect()] == [None] * 3
+    cells = spark.createDataFrame([(cell,), (None,), (5,), (-1,), ((cell & ~(127 << 45)) | (122 << 45),), (0x8928308280FFFFF,)], "c long").coalesce(1)
+    c = F.col("c")
+    got = cells.select(grid_udfs.cell_to_latlng(c).alias("at"), grid_udfs.cell_to_boundary(c).alias("o"), grid_udfs.cell_south(c).alias("s"), grid_udfs.grid_disk(c, 1).alias("d")).collect()
+    assert [r["at"] is None for r in got] == [r["o"] is None for r in got] == [r["s"] is None for r in got] == [r["d"] is None for r in got] == [False, True, True, True, True, False]
+    assert got[0]["s"] == pytest.approx(min(p["lat"] for p in got[0]["o"])) and cell in got[0]["d"] and len(got[5]["d"]) == 7
+    cells.createOrReplaceTempView("odd_cells")
+    named = spark.sql("SELECT cell_centre(c) AS at, cell_outline(c) AS o, cell_disk(c, 1) AS d, cell_disk(c, CAST(NULL AS INT)) AS n FROM odd_cells").collect()
+    assert [(r["at"], r["o"], r["d"]) for r in named] == [(r["at"], r["o"], r["d"]) for r in got] and all(r["n"] is None for r in named)
+
+
+def test_mixed_cells_and_disks():
+    """Resolutions mixed, pentagons among them: outlines and disks are those of the cells one by one."""
+    cells = np.concatenate([np.unique(grid.latlng_to_cell(*sphere(200, r), r)) for r in (0, 1, 4, 7)] + [[(1 << 59) | (r << 52) | (4 << 45) | ((1 << (45 - 3 * r)) - 1) for r in (0, 3)]])
+    for together, c in zip(grid.cell_to_boundary(cells), cells, strict=True):
+        assert np.allclose(sorted(together), sorted(grid.cell_to_boundary([c])[0]), atol=1e-9)  # where two faces meet, either one's first corner
+    held, starts = grid.disks(cells, 2)
+    for c, lo, hi in zip(cells.tolist(), starts[:-1], starts[1:]):
+        step = {n for around in grid.neighbours([c]) for n in around}
+        want = {c} | step | {n for around in grid.neighbours(sorted(step)) for n in around}
+        assert held[lo:hi].tolist() == sorted(want)
+    assert grid.cell_to_boundary([]) == [] and grid.neighbours([]) == [] and len(grid.disks([], 1)[0]) == 0
