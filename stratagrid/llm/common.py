@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch between the JVM and a Python worker; texts can be long, so batches are short.
 ARROW_ROWS = 512
+#: Narrow rows that one file of a stored table holds at least, if it has so many.
+ROWS_A_FILE = 1 << 18
 #: Lower-cases A-Z in UTF-8 bytes and leaves every other byte alone.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: The same, and every ASCII byte but letters and digits becomes a space.
@@ -53,9 +55,12 @@ def remove(uri: str) -> None:
         fs.delete_dir(path)
 
 
-def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back: cuts lineage, and a lost executor loses nothing."""
+def materialize(df: DataFrame, name: str, rows: int | None = None, **options: str) -> DataFrame:
+    """Writes df as Parquet into the shared folder and reads it back: cuts lineage, and a lost executor loses nothing.
+    rows: how many narrow rows df has at most, where that is known; few rows go to few files."""
     path = new_folder(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_A_FILE)))
     df.write.options(**options).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path

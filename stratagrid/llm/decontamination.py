@@ -70,7 +70,7 @@ def build_index(docs: DataFrame, terms: list[str], reach: int = 9, id_cols: tupl
     first = f"greatest(i - {reach}, 0)"
     postings = F.expr(f"transform(at, i -> struct(w[i] AS term, i AS pos, {first} AS first, slice(w, {first} + 1, i + {reach} - {first} + 1) AS near))")
     own = own.select(*id_cols, F.size("w").cast("long").alias("n_words"), "w", at.alias("at"))
-    stored = C.materialize(own.select(F.monotonically_increasing_id().alias("row"), *id_cols, "n_words", postings.alias("postings")), "postings", compression="zstd")
+    stored = C.materialize(own.select(F.monotonically_increasing_id().alias("row"), *id_cols, "n_words", postings.alias("postings")), "postings")
     flat = stored.filter(F.size("postings") > 0).select("row", F.explode("postings").alias("p")).select("row", "p.*")
     return Index(stored.drop("postings"), flat, reach)
 

@@ -275,7 +275,7 @@ def pack(docs: DataFrame, capacity: int = 1024, end_id: int = 2, id_col: str = "
     C.short_batches(spark)
     cut = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         _cut(capacity, end_id, vocabulary or public_vocabulary()), "doc_id long, piece int, start long, length long, part int, nth long, ids binary")
-    pieces = C.materialize(cut.withColumn("ids_crc32", F.crc32("ids")), "pieces", compression="zstd")
+    pieces = C.materialize(cut.withColumn("ids_crc32", F.crc32("ids")), "pieces")
     # The rank of a piece among those of its length: those of earlier tasks, and its number within the task.
     per_task = C.materialize(pieces.groupBy("length", "part").count(), "lengths")
     histogram = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("count").alias("n")).collect()}

@@ -4,7 +4,7 @@ Fingerprints that differ in at most ``radius`` of 64 bits agree in at least ``bl
 bits, so each distinct fingerprint goes to one shard for each choice of so many blocks and every link lies in some
 shard. A shard's fingerprints make a BK-tree, whose children are keyed by their Hamming distance to the parent; a
 search follows only the edges within the radius of the query's distance. Shards that hold very many fingerprints are
-dealt anew by a part of the remaining bits, by the same argument, so that no shard outgrows a task.
+dealt anew by a part of the remaining bits, by the same argument, again and again until none outgrows a task.
 
 Linked fingerprints join a forest while a shard is searched, and a shard returns the edges of its forest, fewer than it
 has fingerprints, never all pairs. A tree travels to its shard's queries by shuffle instead of a broadcast, since the
@@ -17,7 +17,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,8 @@ from . import common as C
 BITS = 64
 #: A shard with more fingerprints than this is dealt anew.
 SHARD_ROWS = 2048
+#: So few bits that a shard's fingerprints may differ in are not split further; it holds this many at most.
+MOST_SHARD_ROWS = 2048
 
 
 def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
@@ -35,18 +37,15 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     parts = (text or "").encode().translate(C.LOWER).split()
     if not parts:
         return 0
-    if len(parts) <= words:
-        hashes = [xxh64_intdigest(b" ".join(parts), seed)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) + 1)
-        starts = np.r_[0, ends[: len(parts) - words]].tolist()
-        view = memoryview(b" ".join(parts))
-        hashes = [xxh64_intdigest(view[a:b], seed) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)]
-    h, votes = np.array(hashes, dtype="<u8"), np.zeros(BITS, dtype=np.int64)
-    for at in range(0, len(h), 1 << 14):
-        bits = np.unpackbits(h[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        votes += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits((votes * 2 > len(h)).astype(np.uint8), bitorder="little").view("<u8")[0])
+    words = min(words, len(parts))
+    ends = np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) + 1)
+    starts, stops = np.r_[0, ends[: len(parts) - words]], ends[words - 1 :] - 1
+    view, votes = memoryview(b" ".join(parts)), np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(starts), 1 << 14):  # not all hashes of a very long text at once
+        some = slice(at, at + (1 << 14))
+        h = np.array([xxh64_intdigest(view[a:b], seed) for a, b in zip(starts[some].tolist(), stops[some].tolist(), strict=True)], dtype="<u8")
+        votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits((votes * 2 > len(starts)).astype(np.uint8), bitorder="little").view("<u8")[0])
 
 
 def _fingerprints(text_at: int, names: list[str], words: int):
@@ -126,7 +125,7 @@ def shard_forest(keys: list[int], radius: int) -> list[tuple[int, int]]:
 
 
 def _forest(radius: int):
-    """Rows (shard, rest, fp) sorted by shard; a shard is held only while it is read."""
+    """Rows (mask, shard, fp) sorted by shard; a shard is held only while it is read."""
 
     def run(batches):
         last, keys = None, []
@@ -136,8 +135,8 @@ def _forest(radius: int):
             return pa.record_batch({"a": pa.array(a[:, 0]), "b": pa.array(a[:, 1])})
 
         for batch in batches:
-            shard = np.stack([batch.column(i).to_numpy() for i in range(3)])
-            fp = batch.column(3).to_numpy().view(np.uint64)
+            shard = np.stack([batch.column(i).to_numpy() for i in range(2)])
+            fp = batch.column(2).to_numpy().view(np.uint64)
             cuts = np.flatnonzero(np.r_[True, (shard[:, 1:] != shard[:, :-1]).any(axis=0)]) if len(fp) else []
             edges = []
             for lo, hi in zip(cuts, [*cuts[1:], len(fp)], strict=True):
@@ -154,11 +153,6 @@ def _forest(radius: int):
     return run
 
 
-def _mask(low: int, high: int) -> int:
-    m = ((1 << high) - 1) ^ ((1 << low) - 1)
-    return m - (1 << 64) if m >= 1 << 63 else m
-
-
 def _block_masks(bits: list[int], blocks: int, keep: int) -> list[int]:
     """Masks of every choice of ``keep`` of ``blocks`` nearly equal parts of the given bits."""
     parts = np.array_split(np.array(bits), blocks)
@@ -169,26 +163,39 @@ def _block_masks(bits: list[int], blocks: int, keep: int) -> list[int]:
     return out
 
 
+def _finer(mask: int, radius: int) -> list[int]:
+    """A shard's fingerprints agree under the mask, so those of a link, which differ in radius bits at most, agree in one
+    of radius + 1 parts of the other bits as well. None where the other bits are few, which bounds a shard by itself."""
+    free = [b for b in range(BITS) if not (mask >> b) & 1]
+    return [mask | m for m in _block_masks(free, radius + 1, 1)] if 1 << len(free) > MOST_SHARD_ROWS else []
+
+
 def links(fingerprints: DataFrame, radius: int = 3, blocks: int | None = None) -> DataFrame:
-    """Edges (a, b) that connect the distinct values of column fp exactly as all links within the radius would."""
-    spark = fingerprints.sparkSession
+    """Edges (a, b), written to the shared folder, that connect the distinct values of column fp exactly as all links
+    within the radius would."""
+    spark, n = fingerprints.sparkSession, fingerprints.count()
     blocks = blocks or radius + 2
     masks = _block_masks(list(range(BITS)), blocks, blocks - radius)
-    dealt = fingerprints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in masks])).alias("k", "shard"))
-    sizes = C.materialize(dealt.groupBy("k", "shard").count().filter(F.col("count") > 1), "shard-sizes")
-    # Shards of one are dropped here; the sizes are one row a shard, so this join is by unique keys.
-    held = dealt.join(sizes, ["k", "shard"])
-    usual = held.filter(F.col("count") <= SHARD_ROWS).select("k", "shard", F.lit(0).cast("long").alias("rest"), "fp")
-    # Within a large shard the bits of its key agree, so the radius + 1 parts of the others can't all differ.
-    again: Column | None = None
-    for k, m in enumerate(masks):
-        free = [b for b in range(BITS) if not (m >> b) & 1]
-        keyed = F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(x).cast("long")).alias("rest")) for i, x in enumerate(_block_masks(free, radius + 1, 1))])
-        again = F.when(F.col("k") == k, keyed) if again is None else again.when(F.col("k") == k, keyed)
-    large = held.filter(F.col("count") > SHARD_ROWS).select("k", "shard", "fp", F.explode(again).alias("x")).select((F.col("k") + len(masks) * (1 + F.col("x.part"))).cast("int").alias("k"), "shard", F.col("x.rest").alias("rest"), "fp")
-    both = usual.select(F.col("k").cast("long").alias("k"), "shard", "rest", "fp").unionByName(large.select(F.col("k").cast("long").alias("k"), "shard", "rest", "fp"))
-    sorted_ = both.repartition(max(1, C.shuffle_partitions(spark)), "k", "shard", "rest").sortWithinPartitions("k", "shard", "rest", "fp")
-    return sorted_.mapInArrow(_forest(radius), "a long, b long").distinct()
+    edges_at_most = n * len(masks)
+    dealt = fingerprints.select("fp", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("mask"))
+    shards = None
+    while True:
+        rows = dealt.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("shard"), "fp")
+        sizes = C.materialize(rows.groupBy("mask", "shard").count().filter(F.col("count") > 1), "shard-sizes", rows=edges_at_most // 2)
+        # Shards of one are dropped here; the sizes are one row a shard, so this join is by unique keys.
+        held = rows.join(sizes, ["mask", "shard"])
+        # At most as many masks as there are choices of blocks and parts.
+        large = [r["mask"] for r in sizes.filter(F.col("count") > SHARD_ROWS).select("mask").distinct().collect() if _finer(r["mask"], radius)]
+        fits = (F.col("count") <= SHARD_ROWS) | (~F.col("mask").isin(large) if large else F.lit(True))
+        usual = held.filter(fits).select("mask", "shard", "fp")
+        shards = usual if shards is None else shards.unionByName(usual)
+        if not large:
+            break
+        finer = spark.createDataFrame([(m, f) for m in large for f in _finer(m, radius)], "mask long, finer long")
+        again = held.filter(~fits).join(F.broadcast(finer), "mask").select("fp", F.col("finer").alias("mask"))
+        dealt = C.materialize(again.distinct(), "large-shards")
+    sorted_ = shards.repartition(max(1, C.shuffle_partitions(spark)), "mask", "shard").sortWithinPartitions("mask", "shard", "fp")
+    return C.materialize(sorted_.mapInArrow(_forest(radius), "a long, b long").distinct(), "links", rows=edges_at_most)
 
 
 # ---- components --------------------------------------------------------------------------------------------------
@@ -198,21 +205,20 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) for every node of the edges (a, b): alternating large and small stars, each round written to the
     shared folder. A round's joins are replaced by grouping on the node with its minimum, so the hub of a star is
     pre-aggregated and its edges are then joined to one row."""
-    current = C.materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), name)
+    facts = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    current = C.materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), name, rows=edges.count())
+    known = facts(current)
     while True:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = C.materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name)
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = C.materialize(large, name)
-        down = C.materialize(large.groupBy("u").agg(F.min("v").alias("m")), name)
-        small = large.join(down, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u <> v").distinct()
-        after = C.materialize(small, name)
-        total = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        same = total(after) == total(current)
-        for old in (least, large, down, current):
-            C.remove(old.stored_at)
-        current = after
-        if same:
+        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        pairs = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = large.join(down, "u").select(F.explode(pairs).alias("e")).select("e.*").filter("u <> v").distinct()
+        after = C.materialize(small, name, rows=2 * known[0])
+        C.remove(current.stored_at)
+        current, before, known = after, known, facts(after)
+        if known == before:
             break
     return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
@@ -232,13 +238,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *carry)
     prints = C.materialize(with_fingerprint(given, words=words).select("doc_id", "fp", *carry), "fingerprints")
-    distinct = C.materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    edges = C.materialize(links(distinct, radius), "links")
+    rows = prints.count()
+    distinct = C.materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints", rows=rows)
+    edges = links(distinct, radius)
     nodes = components(edges)
     rooted = distinct.join(nodes, distinct.fp == nodes.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = C.materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
-    table = C.materialize(rooted.select("fp", "root").join(ids, "root").select("fp", "component_id", "root"), "component-of")
-    return prints.join(table, "fp").select("doc_id", "fp", "component_id", "root", *carry)
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    table = rooted.select("fp", "root").join(ids, "root").select("fp", "component_id", "root")
+    return C.materialize(prints.join(table, "fp").select("doc_id", "fp", "component_id", "root", *carry), "near-duplicates", rows=rows)
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common as C
 from . import decontamination, lines, packing, simhash, toxicity
@@ -51,17 +54,25 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     rows without any id keep one of them."""
     h, g = _text_keys()
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), h.alias("h"), g.alias("g"))
-    found = C.materialize(simhash.near_duplicates(keyed, carry=("h", "g")), "near-duplicate-groups")
-    # Rows to drop are told by id and text; most are few enough for Spark to broadcast, else they are joined.
+    found = simhash.near_duplicates(keyed, carry=("h", "g"))
+    rows = found.count()
+    # Rows to drop are told by 128 bits of hash of id and text, which workers look up in mapped arrays: texts stay where they
+    # are read, however many rows go.
     keep = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     unnamed = found.filter(F.col("component_id").isNull()).agg(F.count(F.lit(1)).alias("n")).first()["n"]
     gone = found.filter(~F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)) & F.col("component_id").isNotNull())
-    gone = C.materialize(gone.select(F.col("doc_id").alias("__doc_id"), F.col("h").alias("__h"), F.col("g").alias("__g")).distinct(), "near-duplicates")
+    key = lambda seed: F.xxhash64(F.lit(seed), "doc_id", "h", "g")
+    table = C.write_sorted_table(gone.select(key(2).alias("h"), key(3).alias("second")).distinct(), "near-duplicates-to-drop", ("second",))
+
+    @F.arrow_udf(T.BooleanType())
+    def stays(key: pa.Array, second: pa.Array) -> pa.Array:
+        hit, value = table.find(key.to_numpy().view(np.uint64))
+        return pa.array(~(hit & (value["second"] == second.to_numpy())))
+
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     marked = docs.select(row.alias(ROW), F.col("doc_id").cast("long").alias("doc_id"), h.alias("h"), g.alias("g"))
-    same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("h") == F.col("__h")) & (F.col("g") == F.col("__g"))
-    left = marked.join(gone, same, "left_anti")
-    repeated = C.materialize(keep.filter("n > 1").select("doc_id"), "repeated-ids")
+    left = marked.filter(stays(key(2), key(3)))
+    repeated = C.materialize(keep.filter("n > 1").select("doc_id"), "repeated-ids", rows=rows)
     if repeated.isEmpty() and not unnamed:
         return left.select(f"{ROW}.*")
     left = C.materialize(left, "near-duplicate-rows")
