@@ -14,6 +14,11 @@ def above_ground(ellipsoidal: Column, ground: Column, undulation: Column) -> Col
     return ellipsoidal - ground - undulation
 
 
+def undulation(ellipsoidal: Column, orthometric: Column) -> Column:
+    """The geoid's height above the ellipsoid: an ellipsoidal height less the height above sea level at the same place."""
+    return ellipsoidal - orthometric
+
+
 def valid_elevation(elev: Column, nodata: Column | float | None = None) -> Column:
     """Finite and not the nodata value."""
     good = elev.isNotNull() & ~F.isnan(elev) & (F.abs(elev) != float("inf"))
@@ -48,6 +53,12 @@ def local_metres(lat: Column, lng: Column, lat0: Column, lng0: Column) -> Column
     return F.struct(((lng - lng0) * METRES_LNG * F.cos(F.radians(lat0))).alias("x"), ((lat - lat0) * METRES_LAT).alias("y"))
 
 
+def camera_angles(x: Column, y: Column, z: Column) -> Column:
+    """(lat, lng) in degrees at which a camera at (x, y, z) looks onto the sphere's middle."""
+    r = F.sqrt(x * x + y * y + z * z)
+    return F.struct(F.degrees(F.asin(z / r)).alias("lat"), F.degrees(F.atan2(y, x)).alias("lng"))
+
+
 def normalise(value: Column, low: Column, high: Column) -> Column:
     return F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0))
 

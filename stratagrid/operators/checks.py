@@ -150,7 +150,7 @@ def ground_truth(cells: DataFrame, pixels: DataFrame) -> DataFrame:
 
 def random_cells(cells: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """n cells that don't depend on how they are stored: those with the smallest hashes of their ids."""
-    return cells.orderBy(F.xxhash64(F.lit(seed), "h3_cell"), "h3_cell").limit(n)
+    return cells.orderBy(F.md5(F.concat_ws(" ", F.lit(str(seed)), F.col("h3_cell").cast("string"))), "h3_cell").limit(n)
 
 
 def performance(table, cell: int) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import bits, geo
 
@@ -82,22 +83,41 @@ BROADCAST_BYTES = 320 << 20
 
 def sample_raster(points: DataFrame, raster, origin: tuple[float, float, float, float], lat: str = "lat", lon: str = "lon", name: str = "geoid_undulation") -> DataFrame:
     """As bilinear(), over a numpy array of checked size in the workers' memory; for many points. Gives floats."""
-    raster = np.asarray(raster, dtype=np.float64)
+    raster = np.ascontiguousarray(raster, dtype=np.float64)
     if raster.nbytes > BROADCAST_BYTES:
         raise ValueError("the raster is too large to broadcast; write it as a table and use bilinear()")
-    held, (x0, dx, y0, dy) = points.sparkSession.sparkContext.broadcast(raster), origin
-
-    @F.pandas_udf("float")
-    def sample(lat: pd.Series, lon: pd.Series) -> pd.Series:
+    held, (x0, dx, y0, dy), (rows, cols) = points.sparkSession.sparkContext.broadcast(raster.ravel()), origin, raster.shape
+
+    def along(at: pa.Array, zero: float, step: float, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pixel centre at or before each coordinate, how far beyond it, in pixels, and which have no coordinate."""
+        f = np.array(at.cast(pa.float64()).to_numpy(zero_copy_only=False), dtype=float)
+        f -= zero + step / 2
+        f /= step
+        missing = np.isnan(f)
+        if missing.any():
+            f[missing] = 0
+        np.clip(f, 0, n - 1, out=f)
+        first = f.astype(np.int64)
+        np.minimum(first, max(n - 2, 0), out=first)  # the last centre is the second of its pair
+        f -= first
+        return first, f, missing
+
+    @F.arrow_udf(T.FloatType())
+    def sample(lat: pa.Array, lon: pa.Array) -> pa.Array:
         g = held.value
-        r = np.clip((lat.to_numpy(dtype=float) - y0) / dy - 0.5, 0, g.shape[0] - 1)
-        c = np.clip((lon.to_numpy(dtype=float) - x0) / dx - 0.5, 0, g.shape[1] - 1)
-        missing = np.isnan(r) | np.isnan(c)
-        r, c = np.where(missing, 0, r), np.where(missing, 0, c)
-        r0, c0 = np.floor(r).astype(int), np.floor(c).astype(int)
-        r1, c1 = np.minimum(r0 + 1, g.shape[0] - 1), np.minimum(c0 + 1, g.shape[1] - 1)
-        fr, fc = r - r0, c - c0
-        out = (g[r0, c0] * (1 - fc) + g[r0, c1] * fc) * (1 - fr) + (g[r1, c0] * (1 - fc) + g[r1, c1] * fc) * fr
-        return pd.Series(np.where(missing, np.nan, out).astype(np.float32))
+        r, fr, no_lat = along(lat, y0, dy, rows)
+        c, fc, no_lon = along(lon, x0, dx, cols)
+        r *= cols
+        r += c
+        right, down = (1 if cols > 1 else 0), (cols if rows > 1 else 0)
+        low = g[r]
+        top = low + (g[r + right] - low) * fc
+        r += down
+        low = g[r]
+        low += (g[r + right] - low) * fc
+        low -= top
+        low *= fr
+        low += top
+        return pa.array(low.astype(np.float32), mask=no_lat | no_lon)
 
     return points.withColumn(name, sample(F.col(lat), F.col(lon)))

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import bits, geo
 
@@ -67,12 +68,21 @@ def fan_out(pixels: DataFrame, resolutions: tuple[int, ...], cell: str = "h3_cel
     return pixels.withColumn("_at", F.explode(each)).select(*[c for c in pixels.columns if c not in (cell, "res")], "_at.res", "_at.h3_cell")
 
 
+def pyramid(pixels: DataFrame, resolutions: tuple[int, ...], cell: str = "h3_cell") -> DataFrame:
+    """Statistics (res, h3_cell, ...) of the ancestors of the pixels' cells at several resolutions. Pixels are folded at the
+    finest of them first; the others get partials of cells, not pixels."""
+    finest = max(resolutions)
+    own = pixels.select(bits.parent(F.col(cell), finest).alias(cell), "elev")
+    return finalize(merge(fan_out(partial(own, cell), resolutions, cell), "res", "h3_cell"), "res", "h3_cell")
+
+
 def located(pixels: DataFrame, resolutions: tuple[int, ...], lat: str = "lat", lon: str = "lon", nodata: float | None = None) -> DataFrame:
-    """Valid pixels with their cell at each resolution, found from the point itself. The mask stands before the Python
-    function, so that it isn't called on pixels that are dropped."""
+    """Valid pixels with their cell at each resolution, found from the point itself; pixels whose coordinates are missing
+    or not finite are left out. The mask stands before the Python function, so that it isn't called on pixels that are
+    dropped."""
     from ..functions.grid_udfs import latlng_to_cells
 
-    good = pixels.filter(geo.valid_elevation(F.col("elev"), nodata) & F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    good = pixels.filter(geo.valid_elevation(F.col("elev"), nodata) & geo.valid_elevation(F.col(lat)) & geo.valid_elevation(F.col(lon)))
     return good.withColumn("_at", F.explode(latlng_to_cells(F.col(lat), F.col(lon), resolutions))).select(*pixels.columns, "_at.res", "_at.h3_cell")
 
 
@@ -105,10 +115,16 @@ def aligned(a: DataFrame, b: DataFrame, *keys: str) -> DataFrame:
 
 def hypsographic_curve(cells: DataFrame) -> DataFrame:
     """Share of cells (percent) at or above each elevation, over cells of about equal area: 0 at the highest, 100 at the
-    lowest. Equal elevations count once, so the ranking is a running sum over distinct elevations."""
-    from pyspark.sql.window import Window
-
-    heights = cells.filter("elevation_mean IS NOT NULL").groupBy("elevation_mean").agg(F.count(F.lit(1)).alias("cells"))
-    n = heights.agg(F.sum("cells").alias("n"))
-    above = F.sum("cells").over(Window.orderBy(F.desc("elevation_mean")).rowsBetween(Window.unboundedPreceding, 0)) - F.col("cells")
-    return heights.withColumn("above", above).crossJoin(n).select("elevation_mean", "cells", F.when(F.col("n") > 1, F.col("above") * 100.0 / (F.col("n") - 1)).otherwise(F.lit(0.0)).alias("area_percent"))
+    lowest. Equal elevations count once. The ranking is a running sum in two levels: within each whole metre, and over
+    the metres, of which there are some thousands; NaN ranks highest."""
+    e = F.col("elevation_mean")
+    metre = F.when(F.isnan(e), F.lit((1 << 63) - 1)).otherwise(F.floor(e).cast("long"))
+    heights = cells.filter(e.isNotNull()).groupBy("elevation_mean").agg(F.count(F.lit(1)).alias("cells")).withColumn("metre", metre)
+    metres = heights.groupBy("metre").agg(F.sum("cells").alias("size"))
+    down = Window.orderBy(F.desc("metre")).rowsBetween(Window.unboundedPreceding, 0)
+    before = metres.select("metre", (F.sum("size").over(down) - F.col("size")).alias("before"))
+    inner = F.sum("cells").over(Window.partitionBy("metre").orderBy(F.desc("elevation_mean")).rowsBetween(Window.unboundedPreceding, 0)) - F.col("cells")
+    n = metres.agg(F.sum("size").alias("n"))
+    ranked = heights.withColumn("inner", inner).join(before, "metre").crossJoin(n)
+    above = F.col("before") + F.col("inner")
+    return ranked.select("elevation_mean", "cells", F.when(F.col("n") > 1, above * 100.0 / (F.col("n") - 1)).otherwise(F.lit(0.0)).alias("area_percent"))

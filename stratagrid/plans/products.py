@@ -20,12 +20,24 @@ def polygons(cells: DataFrame) -> DataFrame:
     return cells.select("h3_cell", outline.alias("p"), F.bround(F.col("elevation_mean").cast("double"), 1).alias("e"))
 
 
-def polygons_json(polys: DataFrame) -> DataFrame:
-    """One row of JSON, [{"p": ..., "e": ...}, ...] in order of cells: a view's data, of a region's size."""
+#: Outlines of one view.
+VIEW = 200_000
+
+
+def polygons_json(polys: DataFrame, at_most: int = VIEW) -> DataFrame:
+    """One row of JSON, [{"p": ..., "e": ...}, ...] in order of cells: a view's data, of a region's size. More rows than
+    at_most raise an error; write_polygons takes any number."""
+    if polys.limit(at_most + 1).count() > at_most:
+        raise ValueError(f"more than {at_most} outlines for one row; use write_polygons")
     rows = F.array_sort(F.collect_list(F.struct("h3_cell", "p", "e")))
     return polys.agg(rows.alias("r")).select(F.to_json(F.transform("r", lambda x: F.struct(x["p"].alias("p"), x["e"].alias("e")))).alias("json"))
 
 
+def write_polygons(polys: DataFrame, path: str) -> None:
+    """Files of JSON rows, {"p": ..., "e": ...}, in order of cells."""
+    polys.repartitionByRange("h3_cell").sortWithinPartitions("h3_cell").select("p", "e").write.mode("overwrite").json(path)
+
+
 def columns_3d(cells: DataFrame, lat0: float, lon0: float, floor_below: float = 40.0) -> DataFrame:
     """Faces of cells extruded from a common floor to their elevation: (h3_cell, kind, shade, face). A top face, and a wall
     for each side; walls have 0.62 of the top's shade. shade is the elevation's place between the lowest and highest."""
@@ -61,8 +73,11 @@ def regular_grid(spark: SparkSession, step: float = 1.0) -> DataFrame:
     return i.crossJoin(j).select("i", "j", (F.col("i") * step - 89.5).alias("lat"), (F.col("j") * step - 180.0).alias("lon"))
 
 
-def geoid_json(sampled: DataFrame, column: str = "value") -> DataFrame:
-    """One row: the rounded samples row by row as a JSON array, and their range."""
+def geoid_json(sampled: DataFrame, column: str = "value", at_most: int = 1_000_000) -> DataFrame:
+    """One row: the rounded samples row by row as a JSON array, and their range. A grid of a degree has 64,980 samples;
+    more than at_most raise an error."""
+    if sampled.limit(at_most + 1).count() > at_most:
+        raise ValueError(f"more than {at_most} samples for one row")
     rows = F.array_sort(F.collect_list(F.struct("i", "j", F.rint(column).cast("int").alias("n"))))
     return sampled.agg(rows.alias("r"), F.min(column).cast("int").alias("low"), F.max(column).cast("int").alias("high")).select(F.to_json(F.transform("r", lambda x: x["n"])).alias("json"), "low", "high")
 
@@ -75,6 +90,15 @@ def geoid_sphere(sampled: DataFrame, column: str = "value", exaggeration: float
     return at.select("lat", "lon", "_p.x", "_p.y", "_p.z", light.alias("light"))
 
 
+def relief(cells: DataFrame, sites: DataFrame, low: float = -200.0, high: float = 3500.0) -> tuple[DataFrame, DataFrame]:
+    """(points, spots): cells with their centres (h3_cell, lat, lon, elevation_mean, pixel_count), elevations held within
+    the scale's range as shade from 0 to 1, and the sites' weighted means with their verdicts."""
+    placed = cells if "lat" in cells.columns else cells.withColumn("_at", grid_udfs.cell_to_latlng(F.col("h3_cell"))).withColumn("lat", F.col("_at.lat")).withColumn("lon", F.col("_at.lng"))
+    held = F.greatest(F.lit(low), F.least(F.lit(high), F.col("elevation_mean").cast("double")))
+    points = placed.select("h3_cell", "lat", "lon", "elevation_mean", "pixel_count", geo.normalise(held, F.lit(low), F.lit(high)).alias("shade"))
+    return points, joins.weighted_regions(sites, placed)
+
+
 def boomerang(frames: int) -> list[int]:
     """Frame numbers there and back."""
     return [*range(frames), *range(frames - 2, 0, -1)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,8 +46,7 @@ def partial_res9(spark, sf_dir):
 
 @query(f"WITH {PX} SELECT res, h3_cell, {synth.STATS_SQL} FROM (SELECT res, h3_cell, {synth.AGG_SQL} FROM (" + " UNION ALL ".join(f"SELECT {r} AS res, {P('h3_cell', r)} AS h3_cell, elev FROM px" for r in range(2, 10)) + ") GROUP BY 1, 2)")
 def multi_res_stats(spark, sf_dir):
-    fanned = stats.fan_out(synth.pixels(spark, sf_dir).select("h3_cell", "elev"), tuple(range(2, 10)))
-    return stats.aggregate(fanned, "res", "h3_cell")
+    return stats.pyramid(synth.pixels(spark, sf_dir).select("h3_cell", "elev"), tuple(range(2, 10)))
 
 
 @query(f"WITH {PX} SELECT h3_cell, {synth.STATS_SQL} FROM (SELECT {P('h3_cell', 5)} AS h3_cell, {synth.AGG_SQL} FROM px GROUP BY 1)")
@@ -191,6 +191,64 @@ def grid_disk(spark, sf_dir):
     return _few_cells(spark, sf_dir, 5).select("h3_cell", F.explode(grid_udfs.grid_disk(F.col("h3_cell"), 1)).alias("around"))
 
 
+_VALID = f"NOT ((h3_cell >> 45) & 127 IN {bits.PENTAGON_BASES} AND {_LEAD} = 1)"
+
+
+def _cells_of(res: int) -> str:
+    return f"SELECT DISTINCT {P('h3_cell', res)} AS h3_cell FROM px"
+
+
+@query(f"WITH {PX}, c AS ({_cells_of(9)}) SELECT h3_cell, CASE WHEN {_VALID} THEN h3_cell END AS back, {_VALID} AS located FROM c")
+def centre_round_trip(spark, sf_dir):
+    """A cell's centre lies in it; ids that aren't cells have none."""
+    at = synth.pixels(spark, sf_dir).select("h3_cell").distinct().withColumn("at", grid_udfs.cell_to_latlng(F.col("h3_cell")))
+    return at.select("h3_cell", grid_udfs.latlng_to_cell(F.col("at.lat"), F.col("at.lng"), 9).alias("back"), F.col("at").isNotNull().alias("located"))
+
+
+def _some_cells(spark, sf_dir) -> DataFrame:
+    return at_res(spark, sf_dir, 2).select("h3_cell").unionByName(at_res(spark, sf_dir, 3).select("h3_cell")).distinct()
+
+
+_SOME = f"c AS ({_cells_of(2)} UNION {_cells_of(3)})"
+_FIVE = f"((h3_cell >> 45) & 127 IN {bits.PENTAGON_BASES} AND (h3_cell >> (45 - 3 * ((h3_cell >> 52) & 15))) & ((1 << CAST(3 * ((h3_cell >> 52) & 15) AS INT)) - 1) = 0)"
+
+
+@query(f"WITH {PX}, {_SOME} SELECT h3_cell, true AS inside, true AS southmost, (h3_cell >> 52) & 15 AS res FROM c WHERE {_VALID}")
+def outlines_hold(spark, sf_dir):
+    """Each corner of an outline, moved a little toward the centre, lies in the cell; the southern extent is the least."""
+    xyz = lambda p: [F.cos(F.radians(p["lat"])) * F.cos(F.radians(p["lng"])), F.cos(F.radians(p["lat"])) * F.sin(F.radians(p["lng"])), F.sin(F.radians(p["lat"]))]
+    cell = F.col("h3_cell")
+    own = _some_cells(spark, sf_dir).select(cell, grid_udfs.cell_to_latlng(cell).alias("m"), grid_udfs.cell_to_boundary(cell).alias("o"), grid_udfs.cell_south(cell).alias("south"))
+    corner = own.select("h3_cell", "m", "south", F.array_min(F.transform("o", lambda p: p["lat"])).alias("low"), F.explode("o").alias("p"))
+    x, y, z = (0.97 * a + 0.03 * b for a, b in zip(xyz(F.col("p")), xyz(F.col("m")), strict=True))
+    moved = corner.select("h3_cell", "south", "low", F.degrees(F.atan2(z, F.sqrt(x * x + y * y))).alias("lat"), F.degrees(F.atan2(y, x)).alias("lng"), bits.resolution(cell).alias("res"))
+    back = F.when(F.col("res") == 2, grid_udfs.latlng_to_cell(F.col("lat"), F.col("lng"), 2)).otherwise(grid_udfs.latlng_to_cell(F.col("lat"), F.col("lng"), 3))
+    return moved.withColumn("back", back).groupBy("h3_cell", "res").agg(F.min(F.col("back") == cell).alias("inside"), F.min(F.abs(F.col("south") - F.col("low")) < 1e-9).alias("southmost")).select("h3_cell", "inside", "southmost", "res")
+
+
+@query(f"WITH {PX}, {_SOME} SELECT h3_cell, CASE WHEN {_FIVE} THEN 6 ELSE 7 END AS held, true AS own, true AS mutual FROM c WHERE {_VALID}")
+def disks_hold(spark, sf_dir):
+    """A cell has six neighbours, a pentagon five, and is a neighbour of each."""
+    disk = _some_cells(spark, sf_dir).withColumn("d", grid_udfs.grid_disk(F.col("h3_cell"), 1)).filter("d IS NOT NULL")
+    each = disk.select("h3_cell", "d", F.explode("d").alias("n")).withColumn("back", grid_udfs.grid_disk(F.col("n"), 1))
+    return each.groupBy("h3_cell").agg(F.count(F.lit(1)).cast("int").alias("held"), F.max(F.col("n") == F.col("h3_cell")).alias("own"), F.min(F.array_contains("back", F.col("h3_cell"))).alias("mutual"))
+
+
+@query(f"WITH {PX}, {synth.cells_sql(3, 'cells')} SELECT h3_cell, round_even(CAST(elevation_mean AS DOUBLE), 1) AS e, true AS whole FROM cells WHERE {_VALID}")
+def polygon_rows(spark, sf_dir):
+    cells = synth.cells(spark, sf_dir, 3)
+    corners = F.size("p")
+    return products.polygons(cells).filter("p IS NOT NULL").select("h3_cell", "e", (corners.between(5, 10) & F.forall("p", lambda q: (F.abs(q[0]) <= 180) & (F.abs(q[1]) <= 90))).alias("whole"))
+
+
+@query(f"WITH {PX}, {synth.cells_sql(3, 'cells')}, r AS (SELECT min(elevation_mean) AS lo, max(elevation_mean) AS hi FROM cells) SELECT h3_cell, CAST(1 AS BIGINT) AS tops, true AS walled, round((CAST(elevation_mean AS DOUBLE) - lo) / (CAST(hi AS DOUBLE) - lo), 9) AS shade FROM cells, r WHERE {_VALID}")
+def column_faces(spark, sf_dir):
+    """A column has a top, and a wall for each of its corners."""
+    faces = products.columns_3d(synth.cells(spark, sf_dir, 3), 39.0, -106.0)
+    top, wall = F.col("kind") == "top", F.col("kind") == "wall"
+    return faces.groupBy("h3_cell").agg(F.count_if(top).alias("tops"), (F.count_if(wall) == F.max(F.when(top, F.size("face")))).alias("walled"), F.round(F.max(F.when(top, F.col("shade"))), 9).alias("shade"))
+
+
 # ---- lookups and joins -------------------------------------------------------------------------------------------
 
 _CELLS9 = f"{PX}, {synth.cells_sql(9, 'cells')}"
@@ -269,7 +327,8 @@ def geoid_sampled(spark, sf_dir):
     return out.select("l_orderkey", "l_linenumber", (F.round(F.col("geoid_undulation").cast("double"), 3) + 0.0).alias("n"))
 
 
-@query()
+# Ids in the sixth that a pentagon of resolution 4 lacks aren't among its descendants.
+@query(f"WITH {PX}, {synth.cells_sql(6, 'cells')} SELECT h3_cell, elevation_mean FROM cells WHERE NOT ((h3_cell >> 45) & 127 IN {bits.PENTAGON_BASES} AND {_LEAD} = 1 AND (h3_cell >> 33) & 4095 = 0)")
 def descendants(spark, sf_dir):
     parents = at_res(spark, sf_dir, 4).select("h3_cell").distinct()
     return products.descendants(parents, synth.cells(spark, sf_dir, 6), 4, 6)
@@ -373,16 +432,71 @@ def ground_truth(spark, sf_dir):
     return checks.ground_truth(synth.cells(spark, sf_dir, 7), at_res(spark, sf_dir, 7)).withColumn("difference", F.round("difference", 6))
 
 
-@query()
+@query(f"WITH {_CELLS9} SELECT * FROM cells ORDER BY md5('0 ' || h3_cell), h3_cell LIMIT 100")
 def random_cells(spark, sf_dir):
     return checks.random_cells(synth.cells(spark, sf_dir, 9), 100)
 
 
-@query()
+_BAD = ("bad_order", "bad_sign", "bad_value", "bad_elevation", "bad_geoid")
+_SUITE = f"""{_ALL}, inv AS (SELECT res, count(*) AS cells, count(*) FILTER (WHERE CAST(elevation_min AS DOUBLE) > elevation_mean + 0.01 OR elevation_mean > CAST(elevation_max AS DOUBLE) + 0.01) AS bad_order,
+    count(*) FILTER (WHERE elevation_stddev < 0 OR pixel_count < 1) AS bad_sign, count(*) FILTER (WHERE NOT isfinite(elevation_mean) OR NOT isfinite(geoid_undulation)) AS bad_value,
+    count(*) FILTER (WHERE elevation_max > 8849 OR elevation_min < -432) AS bad_elevation, count(*) FILTER (WHERE geoid_undulation < -110 OR geoid_undulation > 90) AS bad_geoid, CAST(sum(pixel_count) AS BIGINT) AS pixels,
+    count(*) FILTER (WHERE (h3_cell >> 45) & 127 IN {bits.PENTAGON_BASES} AND {_LEAD} = 1) AS invalid, count(*) - count(DISTINCT h3_cell) AS repeated FROM cells GROUP BY res),
+  spread AS (SELECT res, pixels, abs(pixels - b) / b::DOUBLE AS spread FROM inv CROSS JOIN (SELECT pixels AS b FROM inv WHERE res = 9)),
+  mean AS (SELECT avg(CAST(elevation_mean AS DOUBLE)) AS m FROM cells WHERE res = 5),
+  suite AS (SELECT 'invariants' AS section, 'res' || res AS "check", format('{{:,}}', cells) || ' rows; {" ".join(f"{b}=' || {b} || '" for b in _BAD)}' AS detail, {" + ".join(_BAD)} = 0 AS ok FROM inv
+    UNION ALL SELECT 'conservation', 'res' || res, pixels || ' pixels, spread ' || spread, spread <= 0.001 FROM spread
+    UNION ALL SELECT 'cells', 'res' || res || ' validity', invalid || ' of ' || cells, invalid = 0 FROM inv
+    UNION ALL SELECT 'cells', 'res' || res || ' uniqueness', repeated || ' repeated', repeated = 0 FROM inv
+    UNION ALL SELECT 'hypsographic', 'mean land elevation', round(m, 0) || ' m', m BETWEEN 600 AND 1100 FROM mean)"""
+
+
+@query(f"WITH {_SUITE} SELECT * FROM suite")
 def validation_suite(spark, sf_dir):
     return checks.suite(_all_cells(spark, sf_dir))
 
 
+@query(f"""WITH {_SUITE}, lines AS (SELECT '| ' || CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END || ' | ' || section || ' | ' || "check" || ' | ' || detail || ' |' AS line FROM suite)
+  SELECT line FROM lines UNION ALL SELECT count(*) FILTER (WHERE ok) || ' of ' || count(*) || ' checks pass' FROM suite UNION ALL SELECT unnest(['', '| | section | check | detail |', '|-|-|-|-|'])""")
+def report(spark, sf_dir):
+    text = checks.report(checks.suite(_all_cells(spark, sf_dir)))
+    return spark.createDataFrame([(line,) for line in text.rstrip("\n").split("\n")], "line string")
+
+
+@query(f"WITH {_ALL} SELECT CAST(n_nationkey AS INT) AS res, CAST(n_nationkey * 100 AS BIGINT) AS expected, coalesce(cells, 0) AS cells, n_nationkey * 100 = coalesce(cells, 0) AS ok FROM nation LEFT JOIN (SELECT res, count(*) AS cells FROM cells GROUP BY 1) ON res = n_nationkey")
+def row_counts(spark, sf_dir):
+    expected = spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr("CAST(n_nationkey AS int) AS res", "CAST(n_nationkey * 100 AS bigint) AS expected")
+    return checks.row_counts(_all_cells(spark, sf_dir), expected)
+
+
+@query(f"WITH {PX}, {synth.cells_sql(5, 'cells')} SELECT h3_cell FROM cells WHERE h3_cell % 7 = 0 OR h3_cell % 11 = 0")
+def golden_cells(spark, sf_dir):
+    cells = synth.cells(spark, sf_dir, 5)
+    golden = cells.select("h3_cell", F.expr("CAST(elevation_mean + if(h3_cell % 7 = 0, 1, 0) AS float)").alias("elevation_mean"), F.expr("pixel_count + if(h3_cell % 11 = 0, 1, 0)").alias("pixel_count"))
+    return checks.regressions(cells, golden).select("h3_cell")
+
+
+_CELL3 = f"{synth._HEAD - (9 << 52) + (3 << 52) - ((1 << 18) - 1) + (1 << 36) - 1} + (n_nationkey * 5 % 122) * {1 << 45}"
+
+
+@query(f"""WITH {PX}, {synth.cells_sql(3, 'cells')} SELECT n_name AS name, 'geoid_undulation' AS "column", CAST(geoid_undulation AS DOUBLE) AS value, CAST(n_nationkey - 10 AS DOUBLE) AS expected, 2.0::DOUBLE AS tol,
+  coalesce(abs(CAST(geoid_undulation AS DOUBLE) - (n_nationkey - 10)) <= 2.0, false) AS ok FROM nation LEFT JOIN cells ON h3_cell = {_CELL3}""")
+def geoid_points(spark, sf_dir):
+    points = spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr("n_name AS name", f"{_CELL3} AS h3_cell", "n_nationkey - 10.0D AS expected", "'geoid_undulation' AS column", "2.0D AS tol")
+    return checks.landmarks(points, synth.cells(spark, sf_dir, 3))
+
+
+@query(f"WITH {_CELLS9}, {synth.POINTS}, a AS (SELECT id, h_ellipsoidal - CAST(elevation_mean AS DOUBLE) - CAST(geoid_undulation AS DOUBLE) AS agl FROM points JOIN cells USING (h3_cell)) SELECT CAST(id AS VARCHAR) AS name, agl, abs(agl) < 8 AS ok FROM a")
+def agl_check(spark, sf_dir):
+    return checks.agl_check(synth.points(spark, sf_dir).withColumn("name", F.col("id").cast("string")), synth.cells(spark, sf_dir, 9))
+
+
+@query(f"WITH {_CELLS9}, {synth.POINTS} SELECT id, h_ellipsoidal - CAST(elevation_mean AS DOUBLE) AS n FROM points JOIN cells USING (h3_cell)")
+def undulation(spark, sf_dir):
+    both = joins.bulk_join(synth.points(spark, sf_dir), synth.cells(spark, sf_dir, 9).select("h3_cell", "elevation_mean"))
+    return both.select("id", geo.undulation(F.col("h_ellipsoidal"), F.col("elevation_mean").cast("double")).alias("n"))
+
+
 # ---- planning ----------------------------------------------------------------------------------------------------
 
 _SECONDS = f"{synth.COMMITS}, d AS (SELECT band, completed_at, (epoch_us(completed_at) - lag(epoch_us(completed_at)) OVER (ORDER BY completed_at, band)) / 1e6 AS seconds FROM commits)"
@@ -537,10 +651,22 @@ def extruded_columns(spark, sf_dir):
 
 
 def _folder(spark) -> str:
+    """A folder that driver and executors share; in local mode a temporary one will do."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     return f"{base.rstrip('/')}/cells-{spark.sparkContext.applicationId}-{next(_count)}" if base else "file://" + tempfile.mkdtemp(prefix="stratagrid-cells-") + "/t"
 
 
+def _put(spark, path: str, data: bytes) -> str:
+    """Writes a small file."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(data))
+    out.close()
+    return path
+
+
 _count = iter(range(1 << 30))
 
 
@@ -568,6 +694,272 @@ def sweep_flush(spark, sf_dir):
     return own.close()
 
 
+def _bands(spark, sf_dir, folder: str, res: int = 5) -> DataFrame:
+    """Cells of each of three bands, written as band files."""
+    cells = stats.aggregate(at_res(spark, sf_dir, res), "lat_band", "h3_cell")
+    for b in (1, 2, 3):
+        table.write_band(cells.filter(F.col("lat_band") == b).drop("lat_band"), folder, f"b{b}", res)
+    return cells
+
+
+_BAND5 = f"{PX}, bands AS (SELECT 'b' || lat_band AS lat_band, {P('h3_cell', 5)} AS h3_cell, count(*) AS pixel_count FROM px GROUP BY 1, 2)"
+
+
+@query(f"WITH {_BAND5} SELECT * FROM bands WHERE lat_band IN ('b1', 'b3')")
+def bands_scanned(spark, sf_dir):
+    _bands(spark, sf_dir, folder := _folder(spark))
+    return table.read_bands(spark, folder, 5, ["b1", "b3", "b9"]).select("lat_band", "h3_cell", "pixel_count")
+
+
+@query(f"WITH {_BAND5} SELECT 'b2' AS band, true AS there, count(*) AS cells FROM bands WHERE lat_band = 'b2' UNION ALL SELECT 'b9', false, NULL")
+def band_read(spark, sf_dir):
+    _bands(spark, sf_dir, folder := _folder(spark))
+    found = {b: table.read_band(spark, folder, b, 5) for b in ("b2", "b9")}
+    return spark.createDataFrame([(b, df is not None, df.count() if df is not None else None) for b, df in found.items()], "band string, there boolean, cells long")
+
+
+@query(f"WITH {_BAND5} SELECT *, {_VALID} AS placed FROM bands WHERE lat_band <> 'b2'")
+def completed_cells(spark, sf_dir):
+    _bands(spark, sf_dir, folder := _folder(spark))
+    commits = spark.createDataFrame([("b1",), ("b3",), ("b3",), ("b7",)], "band string")
+    return table.completed_cells(spark, folder, 5, commits).select("lat_band", "h3_cell", "pixel_count", (F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)).alias("placed")).na.fill(False)
+
+
+@query(f"WITH {PX} SELECT 'b' || lat_band AS lat_band, res, count(DISTINCT CASE res WHEN 4 THEN {P('h3_cell', 4)} ELSE {P('h3_cell', 5)} END) AS cells FROM px CROSS JOIN (VALUES (4), (5)) r(res) WHERE lat_band <> 3 GROUP BY 1, 2")
+def bands_published(spark, sf_dir):
+    """A band counts once its marker is there, which is written last."""
+    folder = _folder(spark)
+    by_res = {r: stats.aggregate(at_res(spark, sf_dir, r), "lat_band", "h3_cell") for r in (4, 5)}
+    for b in (1, 2):
+        table.publish_band(spark, {r: c.filter(F.col("lat_band") == b).drop("lat_band") for r, c in by_res.items()}, folder, f"b{b}", {"source": "synthetic"})
+    table.write_band(by_res[5].filter("lat_band = 3").drop("lat_band"), folder, "b3", 5)
+    done = table.published_bands(spark, folder).withColumnRenamed("band", "lat_band")
+    counts = [table.read_bands(spark, folder, r).groupBy("lat_band").agg(F.count(F.lit(1)).alias("cells")).withColumn("res", F.lit(r)) for r in (4, 5)]
+    return counts[0].unionByName(counts[1]).join(done, "lat_band", "left_semi").select("lat_band", "res", "cells")
+
+
+@query(f"WITH {PX}, {synth.cells_sql(5, 'cells')} SELECT {P('h3_cell', 1)} AS r1, count(*) AS cells FROM cells GROUP BY 1")
+def hive_partitions(spark, sf_dir):
+    cells = synth.cells(spark, sf_dir, 5)
+    folder = _folder(spark)
+    table.write_partitioned(cells, folder)
+    table.write_partitioned(cells.filter(bits.base_cell(F.col("h3_cell")) < 9), folder)  # replaces what it has, and nothing else
+    own = spark.read.parquet(folder).select("h3_cell", names.res1_of_path(F.col("_metadata.file_path")).alias("r1"))
+    return own.groupBy("r1").agg(F.count(F.lit(1)).alias("cells"))
+
+
+@query(f"WITH {PX}, {synth.cells_sql(5, 'cells')} SELECT h3_cell, row_number() OVER (ORDER BY h3_cell) - 1 AS place FROM cells")
+def sorted_file(spark, sf_dir):
+    table.write_band(synth.cells(spark, sf_dir, 5), folder := _folder(spark), "all", 5)
+    return spark.read.parquet(f"{folder}/all/res5").select("h3_cell", F.col("_metadata.row_index").alias("place"))
+
+
+def _stored(spark, cells: DataFrame, provenance: dict[str, str] | None = None) -> table.CellTable:
+    stored = table.CellTable(spark, _folder(spark))
+    stored.write(cells, provenance)
+    return stored
+
+
+@query(f"WITH {PX}, {synth.cells_sql(5, 'cells')} SELECT h3_cell, elevation_mean, pixel_count FROM cells")
+def published_read(spark, sf_dir):
+    return table.read_published(spark, _stored(spark, synth.cells(spark, sf_dir, 5)).where()).select("h3_cell", "elevation_mean", "pixel_count")
+
+
+@query(f"WITH {PX}, {synth.cells_sql(5, 'cells')} SELECT h3_cell, elevation_max FROM cells")
+def projected_read(spark, sf_dir):
+    return _stored(spark, synth.cells(spark, sf_dir, 5)).read(["h3_cell", "elevation_max"])
+
+
+@query(f"WITH {PX} SELECT 4 AS res, count(DISTINCT {P('h3_cell', 4)}) AS cells FROM px UNION ALL SELECT 5, count(DISTINCT {P('h3_cell', 5)}) FROM px UNION ALL SELECT 6, count(DISTINCT {P('h3_cell', 6)}) FROM px")
+def read_layouts(spark, sf_dir):
+    """A resolution in one file, one in shards, and one in a table."""
+    folder = _folder(spark)
+    synth.cells(spark, sf_dir, 4).coalesce(1).write.parquet(f"{folder}/res4.parquet")
+    synth.cells(spark, sf_dir, 5).withColumn("base", bits.base_cell(F.col("h3_cell"))).repartition("base").write.partitionBy("base").parquet(f"{folder}/res5")
+    table.CellTable(spark, f"{folder}/res6").write(synth.cells(spark, sf_dir, 6))
+    counts = [table.read_cells(spark, folder, r).agg(F.lit(r).alias("res"), F.count(F.lit(1)).alias("cells")) for r in (4, 5, 6)]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query("""SELECT 'schema' AS section, 'columns and types' AS "check", true AS ok""")
+def schema_probe(spark, sf_dir):
+    return checks.schema(_stored(spark, synth.cells(spark, sf_dir, 5)).scan()).select("section", "check", "ok")
+
+
+@query("SELECT * FROM (VALUES ('pass', '2'), ('restamped', 'True'), ('restamped again', 'False'), ('schema', '1'), ('source', 'later')) t(name, value)")
+def provenance(spark, sf_dir):
+    """Entries put together, the later ones winning; stamping a table with what it has does nothing."""
+    stored = _stored(spark, synth.cells(spark, sf_dir, 4), {"source": "synthetic", "schema": "1"})
+    own = table.merged_provenance(stored.provenance(), {"source": "later", "pass": "2"})
+    done = {"restamped": str(stored.restamp(own)), "restamped again": str(stored.restamp(own))}
+    return spark.createDataFrame(sorted({**stored.provenance(), **done}.items()), "name string, value string")
+
+
+@query(f"WITH {PX}, {synth.cells_sql(5, 'cells')} SELECT count(*) AS rows, count(DISTINCT (h3_cell >> 45) & 127) AS files, true AS measured FROM cells")
+def recompressed(spark, sf_dir):
+    stored = _stored(spark, synth.cells(spark, sf_dir, 5))
+    done = stored.recompress()
+    return stored.sizes().agg(F.lit(done["rows"]).cast("long").alias("rows"), F.count(F.lit(1)).alias("files"), (F.sum("length") == done["bytes_after"]).alias("measured"))
+
+
+@query(f"WITH {PX}, {synth.cells_sql(5, 'cells')} SELECT h3_cell, CAST(elevation_mean AS DOUBLE) * 2 AS twice, true AS added, false AS again FROM cells")
+def columns_added(spark, sf_dir):
+    stored = _stored(spark, synth.cells(spark, sf_dir, 5))
+    twice = lambda d: d.withColumn("twice", F.col("elevation_mean").cast("double") * 2)
+    added, again = stored.add_column("twice", twice), stored.add_column("twice", twice)
+    return stored.read(["h3_cell", "twice"]).withColumn("added", F.lit(added)).withColumn("again", F.lit(again))
+
+
+@query(f"WITH {PX}, {synth.cells_sql(4, 'cells')} SELECT count(*) AS rows, true AS refused, CAST(2 AS BIGINT) AS versions FROM cells")
+def replaced_table(spark, sf_dir):
+    """A write whose count isn't the expected one leaves the table; of those that replaced it the last two stay."""
+    cells = synth.cells(spark, sf_dir, 4)
+    stored = _stored(spark, cells.limit(3))
+    for _ in range(2):
+        stored.write(cells)
+    try:
+        stored.write(cells.limit(5), expected_rows=6)
+        refused = False
+    except ValueError:
+        refused = True
+    return stored.read().agg(F.count(F.lit(1)).alias("rows"), F.lit(refused).alias("refused"), F.lit(len(stored._versions())).cast("long").alias("versions"))
+
+
+@query("""SELECT * FROM (VALUES ('performance', 'lookup of one cell', true), ('performance', 'full count', true)) t(section, "check", ok)""")
+def timed_checks(spark, sf_dir):
+    stored = _stored(spark, synth.cells(spark, sf_dir, 5))
+    return checks.performance(stored, stored.read(["h3_cell"]).first()["h3_cell"]).select("section", "check", "ok")
+
+
+@query(f"WITH {synth.LAND} SELECT * FROM land")
+def land_csv(spark, sf_dir):
+    land, folder = synth.land(spark, sf_dir), _folder(spark)
+    table.append_csv(land.filter("lat_south >= 0"), folder)
+    table.append_csv(land.filter("lat_south < 0"), folder)
+    return planning.read_land(spark, folder)
+
+
+@query(SQL["band_plan"].replace("round(cut_l / 0.74, 3)", "CAST(round(cut_l / 0.74, 0) AS BIGINT)").replace("round(cut_l / 0.74 * 30 / 1e6, 6)", "round(cut_l / 0.74 * 30 / 1e6, 1)"))
+def plan_csv(spark, sf_dir):
+    planning.write_plan(planning.band_plan(synth.land(spark, sf_dir), 8, 5), folder := _folder(spark))
+    return spark.read.option("header", True).schema("band int, lat_north int, lat_south int, land_km2 double, est_rows long, est_mb double").csv(folder)
+
+
+@query("""WITH parts AS (SELECT n_nationkey AS k, range AS part FROM nation CROSS JOIN range(2) WHERE n_nationkey % 3 <> 2 AND (n_nationkey % 3 = 1 OR range = 0))
+  SELECT CAST(k AS INT) AS feature, CAST(part AS INT) AS part, 0 AS ring, 4 AS corners, CAST(k + part * 100 AS DOUBLE) AS west, false AS absent FROM parts UNION ALL SELECT NULL, NULL, NULL, 0, NULL, true""")
+def rings(spark, sf_dir):
+    """Polygons, multi-polygons and points of a file, and a file that isn't there."""
+    import json
+
+    keys = sorted(r["n_nationkey"] for r in spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey").collect())
+    ring = lambda x: [[x, 0], [x + 1, 0], [x + 1, 1], [x, 1]]
+    shape = lambda k: {"type": "Polygon", "coordinates": [ring(k)]} if k % 3 == 0 else {"type": "MultiPolygon", "coordinates": [[ring(k)], [ring(k + 100)]]} if k % 3 == 1 else {"type": "Point", "coordinates": [k, 0]}
+    path = _put(spark, f"{_folder(spark)}/x.json", json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "geometry": shape(k)} for k in keys]}).encode())
+    own = tiles.geojson_rings(spark, path).select("feature", "part", "ring", F.size("points").alias("corners"), F.col("points")[0][0].alias("west"), F.lit(False).alias("absent"))
+    none = tiles.geojson_rings(spark, path + ".not").agg(F.lit(None).cast("int").alias("feature"), F.lit(None).cast("int").alias("part"), F.lit(None).cast("int").alias("ring"), F.count(F.lit(1)).cast("int").alias("corners"), F.lit(None).cast("double").alias("west"), F.lit(True).alias("absent"))
+    return own.unionByName(none)
+
+
+@query(SQL["geoid_sampled"])
+def geoid_file(spark, sf_dir):
+    """As geoid_sampled, of a grid that is read from a file."""
+    import numpy as np
+
+    grid = np.array([[((r * 37 + c * 11) % 200) * 0.5 - 50.0 for c in range(37)] for r in range(19)])
+    raster, origin = tiles.load_raster(spark, _put(spark, f"{_folder(spark)}/geoid.tif", synth.geotiff(grid, synth.GEOID_ORIGIN)))
+    out = joins.sample_raster(synth.pixels(spark, sf_dir).select("l_orderkey", "l_linenumber", "lat", "lon"), raster, origin)
+    return out.select("l_orderkey", "l_linenumber", (F.round(F.col("geoid_undulation").cast("double"), 3) + 0.0).alias("n"))
+
+
+@query(f"WITH {synth.TILE_ROWS} SELECT DISTINCT name, lat, lon FROM tile_rows")
+def listed_tiles(spark, sf_dir):
+    folder = _folder(spark)
+    synth.tile_rows(spark, sf_dir).select("name", F.col("name").alias("value")).repartition("name").write.partitionBy("name").text(folder)
+    _put(spark, f"{folder}/name=other/part-0.txt", b"not a tile")
+    return tiles.list_tiles(spark, folder, "*.txt").select("name", "lat", "lon")
+
+
+@query(SQL["tile_manifest"])
+def manifest_cached(spark, sf_dir):
+    """Built once; the second call reads what is stored."""
+    path = _folder(spark)
+    tiles.cached_manifest(spark, path, lambda: tiles.manifest(synth.tile_rows(spark, sf_dir)))
+    return tiles.cached_manifest(spark, path, lambda: 1 / 0).withColumn("names", F.array_join("names", " "))
+
+
+@query(f"WITH {synth.TILE_ROWS} SELECT name, CASE WHEN lat >= 0 THEN '/cache/' || name || '.tif' ELSE 's3a://tiles/' || name || '/' || name || '.tif' END AS source FROM tile_rows")
+def tile_sources(spark, sf_dir):
+    cached = F.when(F.col("lat") >= 0, F.concat(F.lit("/cache/"), F.col("name"), F.lit(".tif")))
+    return synth.tile_rows(spark, sf_dir).select("name", tiles.source_of(F.col("name"), "s3a://tiles/", cached).alias("source"))
+
+
+_FIRST = f"{synth.TILE_ROWS}, firsts AS (SELECT name, lat, lon FROM tile_rows ORDER BY lat DESC, lon, name LIMIT 6)"
+
+
+@query(f"WITH {_FIRST} SELECT * FROM firsts")
+def first_tiles(spark, sf_dir):
+    return tiles.first_tiles(synth.tile_rows(spark, sf_dir).select("name", "lat", "lon"), 6)
+
+
+@query(f"WITH {_FIRST}, m AS (SELECT max(name) AS m FROM firsts) SELECT name, CASE WHEN name <> m THEN length(name) END AS length, again AND name <> m AS cached, again FROM firsts, m, (VALUES (false), (true)) t(again)")
+def fetched_tiles(spark, sf_dir):
+    """Copied at the first call and found at the second; one of the files isn't there."""
+    firsts = tiles.first_tiles(synth.tile_rows(spark, sf_dir).select("name", "lat", "lon"), 6)
+    found, folder = sorted(r["name"] for r in firsts.collect()), _folder(spark)
+    for name in found[:-1]:
+        _put(spark, f"{folder}/source/{name}/{name}.tif", name.encode())
+    rows = [(r["name"], r["length"], r["cached"], again) for again in (False, True) for r in tiles.fetch(spark, firsts, f"{folder}/source", f"{folder}/cache").collect()]
+    return spark.createDataFrame(rows, "name string, length long, cached boolean, again boolean")
+
+
+@query("SELECT n_nationkey AS k, CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE 'lat_' || n_nationkey END AS band FROM nation")
+def key_bands(spark, sf_dir):
+    key = F.expr("concat(if(n_nationkey % 3 = 0, 'v2/lat_', 'v1/lat_'), n_nationkey, '/res5/part-0.parquet')")
+    return spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").alias("k"), names.band_of_key(key).alias("band"))
+
+
+@query("""WITH g AS (SELECT n_nationkey AS k, n_nationkey * 7 - 84.0 AS lat, n_nationkey * 13 - 160.0 AS lon, n_nationkey / 24.0::DOUBLE AS t FROM nation),
+  p AS (SELECT *, cos(radians(lat)) * cos(radians(lon)) AS x, cos(radians(lat)) * sin(radians(lon)) AS y, sin(radians(lat)) AS z, least(floor(t * 2), 1) AS i, sqrt(0.55 * 0.55 + 0.3 * 0.3 + 0.78 * 0.78) AS n FROM g)
+  SELECT k, round(greatest(0, least(1, x * 0.55 / n + y * 0.3 / n + z * 0.78 / n)), 9) AS light, round((lon - 5) * 111320.0 * cos(radians(40.0)), 6) AS east, round((lat - 40) * 110540.0, 6) AS north,
+  round(CASE WHEN i = 0 THEN 0.0 + t * 2 * 0.5 ELSE 0.5 + (t * 2 - 1) * 0.5 END, 9) AS red, round(degrees(asin(z)), 6) + 0.0 AS camera_lat, round(degrees(atan2(y, x)), 6) + 0.0 AS camera_lng FROM p""")
+def shading(spark, sf_dir):
+    """Light, local metres, a colour ramp and camera angles."""
+    at = spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr("n_nationkey AS k", "n_nationkey * 7 - 84.0D AS lat", "n_nationkey * 13 - 160.0D AS lon", "n_nationkey / 24.0D AS t")
+    p = at.withColumn("p", geo.sphere(F.col("lat"), F.col("lon"), F.lit(1.0))).withColumn("m", geo.local_metres(F.col("lat"), F.col("lon"), F.lit(40.0), F.lit(5.0)))
+    p = p.withColumn("c", geo.colour_ramp(F.col("t"), [(0.0, 0.0, 1.0), (0.5, 1.0, 0.5), (1.0, 0.0, 0.0)])).withColumn("a", geo.camera_angles(F.col("p.x"), F.col("p.y"), F.col("p.z")))
+    return p.select("k", F.round(geo.illumination(F.col("p.x"), F.col("p.y"), F.col("p.z")), 9).alias("light"), F.round("m.x", 6).alias("east"), F.round("m.y", 6).alias("north"), F.round(F.col("c")[0], 9).alias("red"), (F.round("a.lat", 6) + 0.0).alias("camera_lat"), (F.round("a.lng", 6) + 0.0).alias("camera_lng"))
+
+
+@query(f"WITH {PX}, {synth.cells_sql(5, 'cells')} SELECT h3_cell, geoid_undulation AS value FROM cells")
+def geoid_map(spark, sf_dir):
+    return products.cell_map(synth.cells(spark, sf_dir, 5), "geoid_undulation").select("h3_cell", "value")
+
+
+@query("SELECT row_number() OVER () - 1 AS place, f AS frame FROM (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 5, 4, 3, 2, 1]) AS f)")
+def frame_order(spark, sf_dir):
+    return spark.createDataFrame(list(enumerate(products.boomerang(7))), "place long, frame int")
+
+
+@query(f"WITH {PX}, {synth.cells_sql(4, 'cells')} SELECT h3_cell, elevation_mean, {_VALID} AS placed, round((greatest(-200.0, least(3500.0, CAST(elevation_mean AS DOUBLE))) + 200.0) / 3700.0, 9) AS shade FROM cells")
+def relief_points(spark, sf_dir):
+    sites = spark.createDataFrame([], "name string, lat double, lon double, lo double, hi double")
+    points, _ = products.relief(synth.cells(spark, sf_dir, 4), sites)
+    return points.select("h3_cell", "elevation_mean", F.col("lat").isNotNull().alias("placed"), F.round("shade", 9).alias("shade"))
+
+
+@query(SQL["weighted_region_mean"])
+def relief_spots(spark, sf_dir):
+    marks = spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr("n_name AS name", "n_nationkey * 7 - 84 + 0.5D AS lat", "n_nationkey * 13 - 160 + 0.25D AS lon", "n_nationkey * 100 AS lo", "n_nationkey * 100 + 2000 AS hi")
+    cells = synth.pixels(spark, sf_dir).selectExpr("h3_cell", "CAST(elev AS float) AS elevation_mean", "CAST(l_linenumber % 4 AS bigint) AS pixel_count", "lat", "lon")
+    return products.relief(cells, marks)[1].withColumn("value", F.round("value", 6))
+
+
+@query("WITH g AS (" + SQL["geoid_grid"] + ") SELECT '[' || string_agg(CAST(round_even(n, 0) AS INT), ',' ORDER BY i, j) || ']' AS json, CAST(trunc(min(n)) AS INT) AS low, CAST(trunc(max(n)) AS INT) AS high FROM g")
+def geoid_export(spark, sf_dir):
+    sampled = joins.bilinear(products.regular_grid(spark, 10.0), synth.geoid_grid(spark), synth.GEOID_ORIGIN, 19, 37).withColumn("value", F.round("value", 6))
+    return products.geoid_json(sampled)
+
+
 @query()
 def region(spark, sf_dir):
     cells = stats.aggregate(stats.located(synth.pixels(spark, sf_dir).select("lat", "lon", "elev"), (5,)), "h3_cell")
@@ -575,3 +967,75 @@ def region(spark, sf_dir):
     stored.write(cells)
     return stored.region(30.0, -20.0, 45.0, 40.0, 5)
 
+
+@query("SELECT k AS box, CAST(0 AS BIGINT) AS missed, CAST(0 AS BIGINT) AS wrong, true AS some FROM range(4) t(k)")
+def regions_exact(spark, sf_dir):
+    """Rows of a region against a filter of all rows, for small, large and polar boxes."""
+    cells = stats.aggregate(stats.located(synth.pixels(spark, sf_dir).select("lat", "lon", "elev"), (5,)), "h3_cell")
+    stored = _stored(spark, cells)
+    every = stored.read(["h3_cell"]).withColumn("at", grid_udfs.cell_to_latlng(F.col("h3_cell"))).persist()
+    out = []
+    for box in ((30.0, -20.0, 45.0, 40.0), (-60.0, -179.0, 70.0, 179.0), (60.0, -180.0, 90.0, 180.0), (-5.0, 100.0, 8.0, 125.0)):
+        got = stored.region(*box, 5).select("h3_cell")
+        want = every.filter(F.col("at.lat").between(box[0], box[2]) & F.col("at.lng").between(box[1], box[3])).select("h3_cell")
+        out.append((len(out), want.exceptAll(got).count(), got.exceptAll(want).count(), want.count() > 0))
+    every.unpersist()
+    return spark.createDataFrame(out, "box long, missed long, wrong long, some boolean")
+
+
+def _band_files(spark, sf_dir, folder: str, bands: tuple[int, ...]) -> None:
+    px = at_res(spark, sf_dir, 5).select("h3_cell", "elev").withColumn("south", bits.base_cell(F.col("h3_cell")).cast("double") % 3 * -1.0)
+    for k in bands:
+        band = px.filter(F.col("south") == -float(k)).withColumn("lat_band", F.concat(F.lit("b"), F.lit(k)))
+        band.select("lat_band", "south", "h3_cell", "elev").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+
+@query(SQL["sweep_flush"])
+def sweep_resumed(spark, sf_dir):
+    """A sweep that stops after a band and goes on in another run; a batch that is done twice counts once."""
+    from .streaming import sweep
+
+    folder, south = _folder(spark), lambda c: bits.base_cell(c).cast("double") % 3 * -1.0
+    _band_files(spark, sf_dir, folder, (0,))
+    sweep.Sweep(spark, f"{folder}/out", south).run(sweep.band_stream(spark, f"{folder}/in"))
+    _band_files(spark, sf_dir, folder, (1, 2))
+    own = sweep.Sweep(spark, f"{folder}/out", south)
+    own.run(sweep.band_stream(spark, f"{folder}/in"))
+    last = spark.read.schema(sweep.PIXELS).parquet(f"{folder}/in").filter("south = -2.0")
+    own.apply(last, own.commits().agg(F.max("batch").alias("b")).first()["b"])
+    return own.close()
+
+
+@query("SELECT true AS refused, CAST(0 AS BIGINT) AS changed, CAST(2 AS BIGINT) AS bands")
+def late_data(spark, sf_dir):
+    """Pixels of a cell that is final are an error, and what was written for it stays as it was."""
+    from .streaming import sweep
+
+    folder = _folder(spark)
+    _band_files(spark, sf_dir, folder, (0, 1))
+    own = sweep.Sweep(spark, f"{folder}/out", lambda c: bits.base_cell(c).cast("double") % 3 * -1.0)
+    px = spark.read.schema(sweep.PIXELS).parquet(f"{folder}/in")
+    own.apply(px.filter("south > -0.5"), 0)  # 0.0 may be stored as -0.0
+    before = own.flushed().select("h3_cell", "elevation_mean", "pixel_count").collect()
+    own.apply(px.filter("south < -0.5"), 1)
+    try:
+        own.apply(px.filter("south > -0.5").limit(1).withColumn("south", F.lit(-2.0)), 2)
+        refused = False
+    except sweep.LateData:
+        refused = True
+    kept = spark.createDataFrame(before, "h3_cell long, elevation_mean float, pixel_count long")
+    changed = kept.exceptAll(own.flushed().select("h3_cell", "elevation_mean", "pixel_count")).count()
+    return spark.createDataFrame([(refused, changed, own.commits().count())], "refused boolean, changed long, bands long")
+
+
+@query(SQL["partial_res9"])
+def running_stats(spark, sf_dir):
+    """Partials of a stream in Spark's state store."""
+    from .streaming import sweep
+
+    folder = _folder(spark)
+    synth.pixels(spark, sf_dir).select("h3_cell", "elev").repartition(3).write.parquet(f"{folder}/in")
+    name = f"running_{next(_count)}"
+    stream = spark.readStream.schema("h3_cell long, elev double").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    sweep.running_stats(stream, "h3_cell").writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{folder}/at").trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name)

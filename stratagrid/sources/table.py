@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import bits
@@ -14,9 +14,17 @@ SCHEMA = "h3_cell long, elevation_mean float, elevation_max float, elevation_min
 #: Delta-coded integers and plain floats in zstd pages; no dictionaries, which ids and floats don't repay.
 WRITE_OPTIONS = {"compression": "zstd", "parquet.enable.dictionary": "false", "parquet.writer.version": "PARQUET_2_0"}
 
+#: Base cells, so shards at most, and bytes of one file by Spark's estimate.
+SHARDS, FILE_BYTES = 122, 512 << 20
+
 
 class CellTable:
-    """A table of cells below a path, partitioned by ``base`` and sorted by cell within files."""
+    """A table of cells below a path, partitioned by ``base`` and sorted by cell within files.
+
+    Each write is a folder of its own, v-<id>, and the file _current names the one that is read; it is replaced by a
+    rename, so readers see the old table or the new one, and a write that breaks off leaves the old one. The version
+    before the current one stays until the next write, for readers that have begun. A path without _current is read as
+    it is."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -24,38 +32,76 @@ class CellTable:
 
     # -- writing
 
-    def write(self, cells: DataFrame, provenance: dict[str, str] | None = None, expected_rows: int | None = None, files_per_shard: int = 1) -> int:
-        """Replaces the table: written beside it, counted, then renamed, so that readers see the old or the new one. A
-        count other than expected (of the input, if not given) leaves the old table in place and raises.
+    def write(self, cells: DataFrame, provenance: dict[str, str] | None = None, expected_rows: int | None = None, files_per_shard: int | None = None) -> int:
+        """Replaces the table. The rows written are counted before the new version is switched to; a count other than
+        expected (of the input, if not given) leaves the old table in place and raises.
 
-        files_per_shard deals a shard's rows, sorted ranges of cells, over as many tasks; raise it where one task can't
-        hold a base cell."""
+        files_per_shard deals a shard's rows, sorted ranges of cells, over as many tasks; by default so many that a file
+        has FILE_BYTES of Spark's estimate of the input."""
         marked = cells.drop("base")
         if provenance:
             marked = marked.withMetadata("h3_cell", {"provenance": dict(provenance)})
-        sharded = marked.withColumn("base", bits.base_cell(F.col("h3_cell")).cast("int"))
+        if files_per_shard is None:
+            estimate = int(str(cells._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+            files_per_shard = min(512, max(1, estimate // (SHARDS * FILE_BYTES)))
+        seen = Observation()
+        sharded = marked.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn("base", bits.base_cell(F.col("h3_cell")).cast("int"))
         # the next digits of a cell follow its base in the id, so ranges of them keep files sorted against each other
         part = F.floor(F.shiftright("h3_cell", 36).bitwiseAND(511) * files_per_shard / 512)
         dealt = sharded.repartition("base", part) if files_per_shard > 1 else sharded.repartition("base")
-        temporary = f"{self.path}.{uuid.uuid4().hex}"
+        version = f"v-{uuid.uuid4().hex}"
+        temporary = f"{self.path}/{version}"
         dealt.sortWithinPartitions("base", "h3_cell").write.options(**WRITE_OPTIONS).partitionBy("base").parquet(temporary)
-        rows = self.spark.read.parquet(temporary).count()
-        expected = cells.count() if expected_rows is None else expected_rows
-        fs, target, source = self._fs(), self._hadoop(self.path), self._hadoop(temporary)
-        if rows != expected:
-            fs.delete(source, True)
-            raise ValueError(f"{rows} rows were written where {expected} were expected")
+        rows = self.spark.read.parquet(temporary).count() if self._has_files(temporary) else 0
+        if rows != (seen.get["rows"] if expected_rows is None else expected_rows):
+            # a task that ran twice is observed twice, so the input is counted itself before the write is given up
+            expected = cells.count() if expected_rows is None else expected_rows
+            if rows != expected:
+                self._fs().delete(self._hadoop(temporary), True)
+                raise ValueError(f"{rows} rows were written where {expected} were expected")
         if provenance:
-            with_ = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(temporary, "_PROVENANCE.json")
-            out = fs.create(with_, True)
-            out.write(bytearray(json.dumps(provenance, sort_keys=True).encode()))
-            out.close()
-        if fs.exists(target):
-            fs.delete(target, True)
-        fs.rename(source, target)
+            self._put(f"{temporary}/_PROVENANCE.json", json.dumps(provenance, sort_keys=True))
+        before = self._version()
+        self._switch(version)
+        for old in self._versions():
+            if old not in (version, before):
+                self._fs().delete(self._hadoop(f"{self.path}/{old}"), True)
         self._scan = None
         return rows
 
+    def _put(self, path: str, text: str) -> None:
+        out = self._fs().create(self._hadoop(path), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def _switch(self, version: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        temporary = f"{self.path}/_next.{uuid.uuid4().hex}"
+        self._put(temporary, version)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._hadoop(self.path).toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        how = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        qualified = lambda p: self._fs().makeQualified(self._hadoop(p))
+        context.rename(qualified(temporary), qualified(f"{self.path}/_current"), how)
+
+    def _version(self) -> str | None:
+        """The version that _current names; None where there is no such file."""
+        fs, at = self._fs(), self._hadoop(f"{self.path}/_current")
+        if not fs.exists(at):
+            return None
+        return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(fs.open(at), "UTF-8").strip()
+
+    def _versions(self) -> list[str]:
+        return [f.getPath().getName() for f in self._fs().listStatus(self._hadoop(self.path)) if f.getPath().getName().startswith("v-")]
+
+    def _has_files(self, path: str) -> bool:
+        return any(f.isDirectory() for f in self._fs().listStatus(self._hadoop(path)))
+
+    def where(self) -> str:
+        """The folder that is read."""
+        version = self._version()
+        return f"{self.path}/{version}" if version else self.path
+
     def restamp(self, provenance: dict[str, str]) -> bool:
         """Rewrites the table with this provenance, unless it has it already; tells whether it did."""
         if self.provenance() == provenance:
@@ -86,7 +132,7 @@ class CellTable:
     def scan(self) -> DataFrame:
         """With the shard column, for joins that prune by it. Files are listed once per table object and write."""
         if self._scan is None:
-            self._scan = self.spark.read.parquet(self.path)
+            self._scan = self.spark.read.parquet(self.where())
         return self._scan
 
     def provenance(self) -> dict[str, str]:
@@ -103,7 +149,7 @@ class CellTable:
 
     def sizes(self) -> DataFrame:
         """(path, length) of the table's files."""
-        return self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(self.path).select("path", "length")
+        return self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(self.where()).select("path", "length")
 
     def lookup(self, cell: int) -> DataFrame:
         """A cell's row: one shard, and there the row groups whose range holds the id."""
@@ -167,12 +213,42 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return own.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(path)
 
 
+def read_cells(spark: SparkSession, path: str, res: int) -> DataFrame:
+    """The cells of a resolution below a path, whichever layout they have: a table of this module, res<R>.parquet in one
+    file or folder, or shards res<R>/base=<b>/. Partition directories don't become columns."""
+    at = lambda p: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(at(f"{path}/res{res}.parquet")):
+        return spark.read.parquet(f"{path}/res{res}.parquet")
+    return CellTable(spark, f"{path}/res{res}").read()
+
+
 def read_bands(spark: SparkSession, path: str, res: int, bands: list[str] | None = None) -> DataFrame:
     """Per-band files <path>/<band>/res<R>/part-*.parquet of one resolution, of some bands or all, with lat_band."""
     out = spark.read.parquet(f"{path}/*/res{res}").withColumn("lat_band", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/res\d+/[^/]+$", 1))
     return out.filter(F.col("lat_band").isin(bands)) if bands is not None else out
 
 
+def publish_band(spark: SparkSession, by_res: dict[int, DataFrame], path: str, band: str, provenance: dict[str, str] | None = None) -> None:
+    """All resolutions of a band, and then its marker, <path>/<band>/_DONE.json: a band without it isn't finished. Doing it
+    again replaces the band."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{band}/_DONE.json")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(marker, False)
+    for res, cells in sorted(by_res.items()):
+        write_band(cells.withMetadata("h3_cell", {"provenance": dict(provenance)}) if provenance else cells, path, band, res)
+    out = fs.create(marker, True)
+    out.write(bytearray(json.dumps({"band": band, "resolutions": sorted(by_res), **(provenance or {})}, sort_keys=True).encode()))
+    out.close()
+
+
+def published_bands(spark: SparkSession, path: str) -> DataFrame:
+    """(band) of the bands that have their marker."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_DONE.json")
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return spark.createDataFrame([(f.getPath().getParent().getName(),) for f in found or []], "band string")
+
+
 def write_band(cells: DataFrame, path: str, band: str, res: int) -> None:
     """One band's file of one resolution, sorted."""
     cells.coalesce(1).sortWithinPartitions("h3_cell").write.options(**WRITE_OPTIONS).mode("overwrite").parquet(f"{path}/{band}/res{res}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -50,6 +51,43 @@ def in_box(tiles: DataFrame, south: float, west: float, north: float, east: floa
     return tiles.filter((F.col("lat") >= south) & (F.col("lat") < north) & (F.col("lon") >= west) & (F.col("lon") < east))
 
 
+def first_tiles(tiles: DataFrame, n: int) -> DataFrame:
+    """The first n tiles (name, lat, lon), from north to south and there from west to east."""
+    return tiles.orderBy(F.desc("lat"), "lon", "name").limit(n)
+
+
+def fetch(spark: SparkSession, tiles: DataFrame, root: str, folder: str) -> DataFrame:
+    """Copies the tiles' files (name) from <root>/<name>/<name>.tif into a shared folder, a file a row of a task: (name,
+    path, length, cached). Each is written as <name>.tif.part and renamed when whole, so a file that is there is whole;
+    tiles that the folder has are left as they are. A missing source gives a null path."""
+
+    def copy(batches):
+        from pyarrow import fs as pafs
+
+        source, base = pafs.FileSystem.from_uri(root.rstrip("/"))
+        target, to = pafs.FileSystem.from_uri(folder.rstrip("/"))
+        target.create_dir(to, recursive=True)
+        for batch in batches:
+            out = []
+            for name in batch["name"]:
+                path, length, cached = f"{to}/{name}.tif", None, True
+                if target.get_file_info(path).type == pafs.FileType.NotFound:
+                    cached = False
+                    if source.get_file_info(f"{base}/{name}/{name}.tif").type == pafs.FileType.NotFound:
+                        out.append((name, None, None, False))
+                        continue
+                    part = f"{path}.{uuid.uuid4().hex}.part"
+                    with source.open_input_stream(f"{base}/{name}/{name}.tif") as src, target.open_output_stream(part, compression=None) as dst:
+                        while block := src.read(1 << 22):
+                            dst.write(block)
+                    target.move(part, path)
+                length = target.get_file_info(path).size
+                out.append((name, f"{folder.rstrip('/')}/{name}.tif", length, cached))
+            yield pd.DataFrame(out, columns=["name", "path", "length", "cached"])
+
+    return tiles.select("name").distinct().mapInPandas(copy, "name string, path string, length long, cached boolean")
+
+
 def source_of(name: Column, root: str, cached: Column | None = None) -> Column:
     """Where a tile is read: a cached path if there is one, else <root>/<name>/<name>.tif."""
     address = F.concat(F.lit(root.rstrip("/") + "/"), name, F.lit("/"), name, F.lit(".tif"))
@@ -84,7 +122,6 @@ def pixels_of_files(spark: SparkSession, path: str, pattern: str = "*.tif", rows
                     r, c = np.nonzero(good)
                     yield pd.DataFrame({"tile": tile, "lat": lat[r], "lon": lon[c], "elev": part[r, c]})
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     return files.mapInPandas(explode, PIXELS)
 
 
@@ -145,8 +182,25 @@ def read_geotiff(data: bytes) -> tuple[np.ndarray, tuple[float, float, float, fl
     return out, (x - i * dx, dx, y + j * dy, -dy), nodata
 
 
+RINGS = "feature int, part int, ring int, points array<array<double>>"
+
+
+def load_raster(spark: SparkSession, path: str) -> tuple[np.ndarray, tuple[float, float, float, float]]:
+    """The grid of one GeoTIFF file and its (x0, dx, y0, dy), for joins.sample_raster; nodata becomes NaN."""
+    rows = spark.read.format("binaryFile").load(path).select("content").limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"{path} isn't one file")
+    data, origin, nodata = read_geotiff(bytes(rows[0]["content"]))
+    data = data.astype(np.float64)
+    return np.where(data == nodata, np.nan, data) if nodata is not None else data, origin
+
+
 def geojson_rings(spark: SparkSession, path: str) -> DataFrame:
-    """Outlines of a GeoJSON file's polygons and multi-polygons: (feature, part, ring, points). Other shapes are left out."""
+    """Outlines of a GeoJSON file's polygons and multi-polygons: (feature, part, ring, points). Other shapes are left out; a
+    file that isn't there, or isn't GeoJSON, has no outlines."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.createDataFrame([], RINGS)
     # coordinates are one level deeper in a MultiPolygon, so they are read as text and parsed by type
     shape = "features array<struct<geometry: struct<type: string, coordinates: string>>>"
     features = spark.read.schema(shape).option("multiLine", True).json(path).select(F.posexplode("features").alias("feature", "f")).select("feature", "f.geometry.*")

@@ -19,7 +19,7 @@ PIXELS = "lat_band string, south double, h3_cell long, elev double"
 
 
 class LateData(RuntimeError):
-    """A band has pixels of a cell that was already finalized: the input isn't in order."""
+    """A band has pixels of a cell that ends above what was committed, so is final: the input isn't in order."""
 
 
 class Sweep:
@@ -47,17 +47,18 @@ class Sweep:
                 if before is not None:
                     before.write.mode("overwrite").parquet(f"{self.path}/state/v{batch}")
                 return
-            own = stats.partial(pixels, "h3_cell")
-            flushed = self.flushed(before_batch=batch)
-            if flushed is not None and (late := own.join(flushed.select("h3_cell"), "h3_cell", "left_semi").count()):
+            own = stats.partial(pixels, "h3_cell").withColumn("south", self.south(F.col("h3_cell"))).persist()
+            last = self.edge(before_batch=batch)
+            if last is not None and (late := own.filter(F.col("south") >= F.lit(last)).count()):
                 raise LateData(f"batch {batch} has pixels of {late} cells that were finalized")
-            merged = stats.merge([own, before], "h3_cell") if before is not None else own
+            merged = stats.merge([own.drop("south"), before], "h3_cell") if before is not None else own.drop("south")
             done = self.south(F.col("h3_cell")) >= F.lit(float(edge["edge"]))
             marked = merged.withColumn("done", done).persist()
             stats.finalize(marked.filter("done"), "h3_cell").write.mode("overwrite").parquet(f"{self.path}/cells/batch={batch}")
             marked.filter(~F.col("done")).drop("done").write.mode("overwrite").parquet(f"{self.path}/state/v{batch}")
             marked.unpersist()
-            commits = pixels.select("lat_band").distinct().withColumn("completed_at", F.current_timestamp())
+            own.unpersist()
+            commits = pixels.select("lat_band").distinct().withColumn("completed_at", F.current_timestamp()).withColumn("edge", F.lit(float(edge["edge"])))
             commits.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/batch={batch}")
         finally:
             pixels.unpersist()
@@ -69,9 +70,13 @@ class Sweep:
         cells = self.spark.read.parquet(f"{self.path}/cells")
         return cells if before_batch is None else cells.filter(F.col("batch") < before_batch)
 
+    def edge(self, before_batch: int) -> float | None:
+        """The southern edge of what earlier batches committed: cells that end at or above it are final."""
+        return self.commits().filter(F.col("batch") < before_batch).agg(F.min("edge").alias("e")).first()["e"]
+
     def commits(self) -> DataFrame:
         if not self._exists(f"{self.path}/commits"):
-            return self.spark.createDataFrame([], "lat_band string, completed_at timestamp, batch int")
+            return self.spark.createDataFrame([], "lat_band string, completed_at timestamp, edge double, batch int")
         return self.spark.read.parquet(f"{self.path}/commits")
 
     def run(self, pixels: DataFrame, checkpoint: str | None = None) -> None:

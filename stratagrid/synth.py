@@ -112,3 +112,19 @@ def land(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LAND = """land AS (SELECT CAST(90 - k AS INTEGER) AS lat_north, CAST(89 - k AS INTEGER) AS lat_south, CAST(coalesce(s, 0) * 5000 + (k * 7919 % 1000) * 100 AS DOUBLE) AS land_km2
   FROM (SELECT range AS k FROM range(180)) LEFT JOIN (SELECT p_partkey % 180 AS k, sum(p_size) AS s FROM part GROUP BY 1) USING (k))"""
+
+
+def geotiff(data, origin: tuple[float, float, float, float]) -> bytes:
+    """A GeoTIFF file of one uncompressed strip of doubles."""
+    import struct
+
+    h, w = data.shape
+    x0, dx, y0, dy = origin
+    body = data.astype("<f8").tobytes()
+    tags = [(256, 3, [w]), (257, 3, [h]), (258, 3, [64]), (259, 3, [1]), (273, 4, [8]), (278, 3, [h]), (279, 4, [len(body)]), (339, 3, [3]), (33550, 12, [dx, -dy, 0.0]), (33922, 12, [0.0, 0.0, 0.0, x0, y0, 0.0])]
+    at, entries, more = 8 + len(body) + 2 + 12 * len(tags) + 4, b"", b""
+    for tag, kind, values in tags:
+        raw = struct.pack("<" + str(len(values)) + {3: "H", 4: "I", 12: "d"}[kind], *values)
+        entries += struct.pack("<HHI", tag, kind, len(values)) + (raw.ljust(4, b"\0") if len(raw) <= 4 else struct.pack("<I", at + len(more)))
+        more += raw if len(raw) > 4 else b""
+    return b"II" + struct.pack("<HI", 42, 8 + len(body)) + body + struct.pack("<H", len(tags)) + entries + b"\0" * 4 + more

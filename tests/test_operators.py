@@ -131,3 +131,41 @@ def test_suite(spark, sf_dir):
     cells = spark.createDataFrame([(k, float(k)) for k in range(50)], "h3_cell long, elevation_mean float")
     a = checks.random_cells(cells.repartition(7), 10).collect()
     assert a == checks.random_cells(cells.coalesce(1), 10).collect() and len(a) == 10
+
+
+def test_sampling_at_edges_and_without_coordinates(spark):
+    import numpy as np
+
+    raster = np.array([[1.0, 2.0, 4.0], [8.0, 16.0, 32.0]])
+    at = [(9.0, 1.0), (10.5, 0.5), (9.75, 1.25), (99.0, -99.0), (-99.0, 99.0), (None, 1.0), (1.0, None), (float("nan"), 1.0), (8.5, 2.5)]
+    points = spark.createDataFrame(at, "lat double, lon double").coalesce(1)
+    got = [r["geoid_undulation"] for r in joins.sample_raster(points, raster, (0.0, 1.0, 11.0, -1.0)).collect()]
+    by_hand = lambda r, c: (lambda r0, c0: (raster[r0, c0] * (1 - (c - c0)) + raster[r0, c0 + 1] * (c - c0)) * (1 - (r - r0)) + (raster[r0 + 1, c0] * (1 - (c - c0)) + raster[r0 + 1, c0 + 1] * (c - c0)) * (r - r0))(min(int(r), 0), min(int(c), 1))
+    clip = lambda lat, lon: (min(max((lat - 11) / -1 - 0.5, 0), 1), min(max(lon - 0.5, 0), 2))
+    want = [None if a is None or b is None or a != a else by_hand(*clip(a, b)) for a, b in at]
+    assert got == pytest.approx(want)
+    one = joins.sample_raster(points.limit(1), np.array([[7.0]]), (0.0, 1.0, 11.0, -1.0)).first()
+    assert one["geoid_undulation"] == 7.0
+
+
+def test_views_are_bounded(spark, tmp_path):
+    cells = spark.createDataFrame([(0x8928308280FFFFF, 12.25), (0x85283473FFFFFFF, 1.0)], "h3_cell long, elevation_mean float")
+    polys = products.polygons(cells)
+    with pytest.raises(ValueError, match="more than 1"):
+        products.polygons_json(polys, at_most=1)
+    products.write_polygons(polys, f"{tmp_path}/p")
+    assert spark.read.json(f"{tmp_path}/p").count() == 2
+    with pytest.raises(ValueError, match="more than 3"):
+        products.geoid_json(products.regular_grid(spark, 90.0).withColumn("value", F.lit(1.0)), at_most=3)
+
+
+def test_curve_of_odd_values(spark):
+    rows = [(5.5,), (5.5,), (5.25,), (-3.0,), (None,), (float("nan"),), (900.0,)]
+    got = [(str(r["elevation_mean"]), r["cells"], r["area_percent"]) for r in stats.hypsographic_curve(spark.createDataFrame(rows, "elevation_mean double")).orderBy("area_percent").collect()]
+    assert got == [("nan", 1, 0.0), ("900.0", 1, 20.0), ("5.5", 2, 40.0), ("5.25", 1, 80.0), ("-3.0", 1, 100.0)]
+    assert stats.hypsographic_curve(spark.createDataFrame([], "elevation_mean double")).count() == 0
+
+
+def test_pixels_without_a_place(spark):
+    px = spark.createDataFrame([(1.0, 2.0, 3.0), (float("nan"), 2.0, 3.0), (1.0, float("inf"), 3.0), (None, 2.0, 3.0), (1.0, 2.0, float("nan"))], "lat double, lon double, elev double")
+    assert stats.located(px, (4, 5)).count() == 2
