@@ -66,8 +66,8 @@ def maximal(hashes: DataFrame) -> DataFrame:
 def collapse(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(kept, turns of kept): conversations that are neither copies nor snapshots, and their numbered turns.
 
-    Rows without a conversation id belong to none and are left out. Null roles and texts are empty; null turns come
-    first; equal turn numbers are ordered by role and text; repeated rows count once. Other columns are ignored. An
+    Rows without a conversation id belong to none and are left out. Null roles and texts are empty; null turns count as
+    turn -1; equal turn numbers are ordered by role and text; repeated rows count once. Other columns are ignored. An
     empty table gives none."""
     own = C.materialize(numbered(turns, conv_col, turn_col, role_col, text_col), "turns")
     hashes = C.materialize(prefix_hashes(own), "prefix-hashes")

@@ -6,8 +6,10 @@ folder that driver and executors share); one is made only where that setting is
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import os
+import re
 import tempfile
 import uuid
 
@@ -18,6 +20,10 @@ from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch between the JVM and a Python worker; texts can be long, so batches are short.
 ARROW_ROWS = 512
+#: Tasks of a shuffle at most.
+MOST_TASKS = 1 << 15
+#: Keys of one array of a sorted table.
+SEGMENT = 1 << 20
 #: Narrow rows that one file of a stored table holds at least, if it has so many.
 ROWS_A_FILE = 1 << 18
 #: Lower-cases A-Z in UTF-8 bytes and leaves every other byte alone.
@@ -31,6 +37,8 @@ def shared_root(spark: SparkSession) -> str:
     """URI of the folder that driver and executors share."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = getattr(shared_root, "own", None)
         if base is None:
             base = shared_root.own = "file://" + tempfile.mkdtemp(prefix="stratagrid-shared-")
@@ -43,13 +51,21 @@ def shared_root(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_made: set[str] = set()
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """URI of a folder of its own below the shared one."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """URI of a folder of its own below the shared one. It goes when the driver's Python ends, if not before."""
+    if not _made:
+        atexit.register(lambda: [remove(uri) for uri in list(_made)])
+    uri = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.add(uri)
+    return uri
 
 
 def remove(uri: str) -> None:
     """Deletes a folder of ours when its content is no longer needed."""
+    _made.discard(uri)
     fs, path = pafs.FileSystem.from_uri(uri)
     with contextlib.suppress(OSError):
         fs.delete_dir(path)
@@ -78,9 +94,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def fold(spark: SparkSession, at_least: int = 1) -> int:
-    """Bits b such that 2**b buckets are about as many as the session's shuffle partitions."""
-    return max(0, (max(shuffle_partitions(spark), at_least) - 1).bit_length())
+def fold(spark: SparkSession, amount: int = 0, each: int = 1) -> int:
+    """Bits b such that 2**b buckets are as many as the session's shuffle partitions, or more if they would hold more than
+    ``each`` of an ``amount`` otherwise."""
+    return max(1, (max(shuffle_partitions(spark), -(-amount // each)) - 1).bit_length())
+
+
+def dealt(df: DataFrame, bits: int, bucket: str = "bucket", *order: str) -> DataFrame:
+    """Rows by their bucket, a number of so many bits. Beyond MOST_TASKS a task has several buckets, one after another."""
+    beyond = max(0, bits - (MOST_TASKS.bit_length() - 1))
+    parts = df.repartitionById(1 << (bits - beyond), F.shiftright(bucket, beyond))
+    return parts.sortWithinPartitions(bucket, *order) if order or beyond else parts
+
+
+def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
+    """Bytes of all texts, which bound what is counted of them."""
+    return docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string")).cast("long")), F.lit(0)).alias("n")).first()["n"]
 
 
 def top_bits(h: Column, bits: int) -> Column:
@@ -118,70 +147,117 @@ _open: dict[tuple[str, str], np.ndarray] = {}
 
 
 def get_array(folder: str, name: str) -> np.ndarray:
-    """The array, mapped into memory; of a remote store a local copy is mapped."""
+    """The array, mapped into memory; of a remote store an unnamed local copy is mapped, which goes with the process."""
     if (folder, name) not in _open:
         if len(_open) > 4096:
             _open.clear()
         fs, base = pafs.FileSystem.from_uri(folder)
         path = f"{base}/{name}.npy"
-        if not isinstance(fs, pafs.LocalFileSystem):
-            local = os.path.join(tempfile.gettempdir(), f"{os.path.basename(base)}-{name}.npy")
-            if not os.path.exists(local):
-                part = f"{local}.{uuid.uuid4().hex}"
-                with fs.open_input_stream(path) as src, open(part, "wb") as out:
-                    while block := src.read(1 << 24):
-                        out.write(block)
-                os.replace(part, local)
-            path = local
-        try:
-            _open[folder, name] = np.load(path, mmap_mode="r")
-        except ValueError:  # an empty array can't be mapped
-            _open[folder, name] = np.load(path)
+        if isinstance(fs, pafs.LocalFileSystem):
+            file = open(path, "rb")  # noqa: SIM115  the mapping needs it
+        else:
+            file = tempfile.TemporaryFile()  # noqa: SIM115
+            with fs.open_input_stream(path) as src:
+                while block := src.read(1 << 24):
+                    file.write(block)
+            file.flush()
+            file.seek(0)
+        np.lib.format.read_magic(file)
+        shape, _, kind = np.lib.format.read_array_header_1_0(file)
+        empty = 0 in shape  # can't be mapped
+        _open[folder, name] = np.zeros(shape, kind) if empty else np.memmap(file, dtype=kind, mode="r", offset=file.tell(), shape=shape)
+        file.close()
     return _open[folder, name]
 
 
 class SortedTable:
-    """A distributed map from unsigned 64-bit hashes to values: 2**bits files of sorted keys, the bucket being the
-    leading bits, with parallel value arrays. Workers map the files and look up sorted queries in bulk; nothing is
-    broadcast, so the table may outgrow any one machine's memory."""
+    """A distributed map from unsigned 64-bit hashes to values: 2**bits buckets by leading bits, each in segments of
+    sorted keys of bounded size, with parallel value arrays and an index of the segments' first keys. Workers map the
+    files and look up sorted queries in bulk; nothing is broadcast, so the table may outgrow any one machine's memory.
 
-    def __init__(self, folder: str, bits: int, values: tuple[str, ...] = ()):
-        self.folder, self.bits, self.values = folder, bits, values
+    Values are numbers; of ``texts``, bytes are kept one after another, and their ends as numbers. A value ``second``
+    tells keys of equal hash apart."""
 
-    def write_bucket(self, bucket: int, keys: np.ndarray, **values: np.ndarray) -> None:
-        order = np.argsort(keys, kind="stable")
-        put_array(self.folder, f"keys-{bucket}", keys[order])
-        for name in self.values:
-            put_array(self.folder, f"{name}-{bucket}", values[name][order])
+    def __init__(self, folder: str, bits: int, values: tuple[str, ...] = (), texts: tuple[str, ...] = ()):
+        self.folder, self.bits, self.values, self.texts = folder, bits, values, texts
+
+    def bucket_of(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(keys), np.int64)
 
-    def find(self, queries: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-        """For each query whether it is a key, and its values (0 where it isn't)."""
+    def write_segment(self, bucket: int, segment: int, keys: np.ndarray, **values) -> None:
+        put_array(self.folder, f"keys-{bucket}-{segment}", keys)
+        for name in self.values:
+            put_array(self.folder, f"{name}-{bucket}-{segment}", values[name])
+        for name in self.texts:
+            put_array(self.folder, f"{name}-{bucket}-{segment}", np.frombuffer(b"".join(values[name]), np.uint8))
+            put_array(self.folder, f"{name}_ends-{bucket}-{segment}", np.cumsum([len(x) for x in values[name]], dtype=np.int64))
+
+    def write_index(self, bucket: int, firsts: list[int]) -> None:
+        put_array(self.folder, f"index-{bucket}", np.array(firsts, dtype=np.uint64))
+
+    def write_bucket(self, bucket: int, keys: np.ndarray, **values) -> None:
+        """A bucket's keys in order, in segments that don't part equal keys."""
+        firsts, lo = [], 0
+        while lo < len(keys):
+            hi = len(keys) if len(keys) - lo <= SEGMENT else int(np.searchsorted(keys, keys[lo + SEGMENT], side="left"))
+            hi = hi if hi > lo else int(np.searchsorted(keys, keys[lo], side="right"))
+            self.write_segment(bucket, len(firsts), keys[lo:hi], **{k: v[lo:hi] for k, v in values.items()})
+            firsts.append(int(keys[lo]))
+            lo = hi
+        self.write_index(bucket, firsts)
+
+    def _parts(self, unique: np.ndarray):
+        """(from, to, bucket, segment) of runs of sorted queries that one segment can hold."""
+        buckets = self.bucket_of(unique)
+        cuts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(unique) else []
+        for lo, hi in zip(cuts, np.r_[cuts[1:], len(unique)] if len(unique) else [], strict=True):
+            firsts = get_array(self.folder, f"index-{int(buckets[lo])}")
+            of = np.searchsorted(firsts, unique[lo:hi], side="right") - 1
+            for s in np.unique(of[of >= 0]):
+                own = np.flatnonzero(of == s)
+                yield lo + own[0], lo + own[-1] + 1, int(buckets[lo]), int(s)
+
+    def find(self, queries: np.ndarray, second: np.ndarray | None = None) -> tuple[np.ndarray, dict]:
+        """For each query whether it is a key, and its values (0, or no bytes, where it isn't). second: what tells queries of
+        equal hash apart; it must be a value of the table."""
         queries = np.asarray(queries, dtype=np.uint64)
-        unique, back = np.unique(queries, return_inverse=True)
+        if second is not None:  # distinct pairs; hashes are nearly always distinct as well
+            order = np.lexsort((second, queries))
+            q, s2 = queries[order], second[order]
+            first = np.r_[True, (q[1:] != q[:-1]) | (s2[1:] != s2[:-1])] if len(q) else np.zeros(0, bool)
+            unique, wanted, back = q[first], s2[first], np.empty(len(q), np.int64)
+            back[order] = np.cumsum(first) - 1
+        else:
+            unique, back = np.unique(queries, return_inverse=True)
         found = np.zeros(len(unique), dtype=bool)
-        out: dict[str, np.ndarray] = {}
-        buckets = (unique >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(unique), np.int64)
-        starts = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]]) if len(unique) else []
-        for lo, hi in zip(starts, np.r_[starts[1:], len(unique)] if len(unique) else [], strict=True):
-            b = int(buckets[lo])
-            keys = get_array(self.folder, f"keys-{b}")
-            if not len(keys):
-                continue
+        out = {name: np.zeros(len(unique), dtype=np.int64) for name in self.values} | {name: np.full(len(unique), b"", dtype=object) for name in self.texts}
+        for lo, hi, b, s in self._parts(unique):
+            keys = get_array(self.folder, f"keys-{b}-{s}")
             at = np.minimum(np.searchsorted(keys, unique[lo:hi]), len(keys) - 1)
             hit = keys[at] == unique[lo:hi]
+            if second is not None:
+                checks, mine = get_array(self.folder, f"second-{b}-{s}"), wanted[lo:hi]
+                while (other := hit & (checks[at] != mine)).any():  # the next key of that hash, if there is one
+                    at[other] += 1
+                    inside = at < len(keys)
+                    at = np.minimum(at, len(keys) - 1)
+                    hit &= inside & (keys[at] == unique[lo:hi])
             found[lo:hi] = hit
             for name in self.values:
-                v = get_array(self.folder, f"{name}-{b}")
-                if name not in out:
-                    out[name] = np.zeros(len(unique), dtype=v.dtype)
+                v = get_array(self.folder, f"{name}-{b}-{s}")
+                if out[name].dtype != v.dtype:
+                    out[name] = out[name].astype(v.dtype)
                 out[name][lo:hi] = np.where(hit, v[at], 0)
-        for name in self.values:
-            out[name] = out.get(name, np.zeros(len(unique), dtype=np.int64))[back]
-        return found[back], out
+            for name in self.texts:
+                data, ends = get_array(self.folder, f"{name}-{b}-{s}"), get_array(self.folder, f"{name}_ends-{b}-{s}")
+                for i in np.flatnonzero(hit).tolist():
+                    out[name][lo + i] = data[(ends[at[i] - 1] if at[i] else 0) : ends[at[i]]].tobytes()
+        return found[back], {name: v[back] for name, v in out.items()}
 
 
 class BucketWriter:
-    """mapInArrow function: the rows of one bucket (columns bucket, h and the values) become one file of a SortedTable."""
+    """mapInArrow function: rows (bucket, h and the values) sorted by bucket and h become the files of a SortedTable. A
+    worker holds a segment at a time."""
 
     def __init__(self, table: SortedTable):
         self.table = table
@@ -189,27 +265,53 @@ class BucketWriter:
     def __call__(self, batches):
         import pyarrow as pa
 
-        held = [pa.table(b) if isinstance(b, dict) else pa.Table.from_batches([b]) for b in batches if b.num_rows]
-        if held:
-            rows = pa.concat_tables(held)
-            bucket = rows["bucket"].to_numpy()
-            keys = rows["h"].to_numpy().view(np.uint64)
-            columns = {v: rows[v].to_numpy() for v in self.table.values}
-            for b in np.unique(bucket):
-                m = bucket == b
-                self.table.write_bucket(int(b), keys[m], **{k: v[m] for k, v in columns.items()})
-                yield pa.record_batch({"bucket": pa.array([int(b)], pa.int32()), "n": pa.array([int(m.sum())], pa.int64())})
+        table, names = self.table, [*self.table.values, *self.table.texts]
+        bucket, firsts, total, held, kept = None, [], 0, [], 0
 
-
-def write_sorted_table(rows: DataFrame, name: str, values: tuple[str, ...] = ()) -> SortedTable:
-    """Writes rows (h long and the values) as a SortedTable. Each bucket is a task; empty buckets get empty files."""
+        def flush(last: bool):
+            """Writes what is held, but for the last key's rows if the bucket goes on."""
+            nonlocal firsts, held, kept
+            rows = pa.concat_tables(held).combine_chunks()
+            keys = rows["h"].to_numpy().view(np.uint64)
+            n = len(keys) if last else int(np.searchsorted(keys, keys[-1], side="left"))
+            if n:
+                columns = {v: rows[v].to_pylist()[:n] if v in table.texts else rows[v].to_numpy()[:n] for v in names}
+                table.write_segment(bucket, len(firsts), keys[:n], **columns)
+                firsts.append(int(keys[0]))
+            held, kept = ([rows.slice(n)], len(keys) - n) if n < len(keys) else ([], 0)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            of = rows["bucket"].to_numpy()
+            cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+            for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(of)], strict=True):
+                if bucket is not None and of[lo] != bucket:
+                    flush(True)
+                    table.write_index(bucket, firsts)
+                    yield pa.record_batch({"bucket": pa.array([bucket], pa.int32()), "n": pa.array([total], pa.int64())})
+                    firsts, total = [], 0
+                bucket = int(of[lo])
+                held.append(rows.slice(lo, hi - lo))
+                kept, total = kept + hi - lo, total + hi - lo
+                if kept >= SEGMENT:
+                    flush(False)
+        if bucket is not None:
+            if held:
+                flush(True)
+            table.write_index(bucket, firsts)
+            yield pa.record_batch({"bucket": pa.array([bucket], pa.int32()), "n": pa.array([total], pa.int64())})
+
+
+def write_sorted_table(rows: DataFrame, name: str, values: tuple[str, ...] = (), texts: tuple[str, ...] = ()) -> SortedTable:
+    """Writes rows (h long, the values and the texts) as a SortedTable; Spark sorts them. Buckets without rows get an empty
+    index."""
     spark = rows.sparkSession
     bits = fold(spark)
-    table = SortedTable(new_folder(spark, name), bits, values)
-    kinds = dict(rows.dtypes)
-    numpy_kind = {"bigint": np.int64, "int": np.int32, "double": np.float64, "float": np.float32}
-    dealt = rows.select(top_bits(F.col("h"), bits).alias("bucket"), "h", *values).repartitionById(1 << bits, "bucket")
-    done = {r["bucket"] for r in dealt.mapInArrow(BucketWriter(table), "bucket int, n long").collect()}
+    table = SortedTable(new_folder(spark, name), bits, values, texts)
+    of = dealt(rows.select(top_bits(F.col("h"), bits).alias("bucket"), "h", *values, *texts), bits, "bucket", "h")
+    done = {r["bucket"] for r in of.mapInArrow(BucketWriter(table), "bucket int, n long").collect()}
     for b in set(range(1 << bits)) - done:
-        table.write_bucket(b, np.zeros(0, np.uint64), **{v: np.zeros(0, numpy_kind[kinds[v]]) for v in values})
+        table.write_index(b, [])
     return table

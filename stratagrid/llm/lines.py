@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 from . import common as C
 
 SPACE = b" \t\n\x0b\x0c\r"
+#: Distinct keys of one hash range at most, as far as the bytes of the texts tell.
+RANGE_KEYS = 1 << 23
 
 
 class Bloom:
@@ -149,18 +151,26 @@ def _sight_lines(least: int):
 
 
 def _gather_suspects(table: C.SortedTable):
+    """Rows (bucket, h, again) of a task, a bucket after another; a bucket's filter and set are held while it is read."""
+
     def run(batches):
-        seen, buckets = Sightings(), []
+        bucket, seen = None, None
+
+        def written():
+            table.write_bucket(bucket, np.sort(seen.twice.all()))
+            return pa.record_batch({"bucket": pa.array([bucket], pa.int32())})
+
         for batch in batches:
-            h = batch.column(1).to_numpy().view(np.uint64)
-            buckets.append(np.unique(batch.column(0).to_numpy()))
-            seen.see(h, batch.column(2).to_numpy(zero_copy_only=False))
-        if buckets:
-            h = seen.twice.all()
-            where = (h >> np.uint64(64 - table.bits)).astype(np.int64) if table.bits else np.zeros(len(h), np.int64)
-            for b in np.unique(np.concatenate(buckets)):
-                table.write_bucket(int(b), h[where == b])
-                yield pa.record_batch({"bucket": pa.array([int(b)], pa.int32()), "n": pa.array([int((where == b).sum())], pa.int64())})
+            of, h, again = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]).tolist() if len(of) else []
+            for lo, hi in zip(cuts, [*cuts[1:], len(of)], strict=True):
+                if of[lo] != bucket:
+                    if bucket is not None:
+                        yield written()
+                    bucket, seen = int(of[lo]), Sightings()
+                seen.see(h[lo:hi], again[lo:hi])
+        if bucket is not None:
+            yield written()
 
     return run
 
@@ -194,8 +204,7 @@ def _drop(table: C.SortedTable, least: int, at: tuple[int, int], names: list[str
                     if len(line) >= least and long_enough(key := line_key(line), least):
                         digests.append(hashlib.sha256(key).digest())
                         place.append((i, j))
-            hit, value = table.find(_hash_of(digests))
-            hit &= value["second"] == _second_of(digests)
+            hit, value = table.find(_hash_of(digests), _second_of(digests))
             gone: dict[int, set[int]] = {}
             for k in np.flatnonzero(hit):
                 i, j = place[k]
@@ -223,13 +232,14 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     C.short_batches(spark)
     text, doc = F.col(text_col).cast("string"), F.col(id_col).cast("long")
-    bits = C.fold(spark)
+    # A key has min_chars bytes or more, which bounds the keys of a hash range.
+    bits = C.fold(spark, C.text_bytes(docs, text_col) // max(1, min_chars), RANGE_KEYS)
     suspects = C.SortedTable(C.new_folder(spark, "line-suspects"), bits)
     sighted = docs.select(text).mapInArrow(_sight_lines(min_chars), "h long, again boolean")
-    dealt = sighted.select(C.top_bits(F.col("h"), bits).alias("bucket"), "h", "again").repartitionById(1 << bits, "bucket")
-    done = {r["bucket"] for r in dealt.mapInArrow(_gather_suspects(suspects), "bucket int, n long").collect()}
+    dealt = C.dealt(sighted.select(C.top_bits(F.col("h"), bits).alias("bucket"), "h", "again"), bits)
+    done = {r["bucket"] for r in dealt.mapInArrow(_gather_suspects(suspects), "bucket int").collect()}
     for b in set(range(1 << bits)) - done:
-        suspects.write_bucket(b, np.zeros(0, np.uint64))
+        suspects.write_index(b, [])
 
     held = docs.select(doc.alias("doc_id"), text.alias("text")).mapInArrow(_suspected(suspects, min_chars), "sha binary, doc_id long")
     repeated = held.groupBy("sha").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keep")).filter(F.col("n") >= min_docs)

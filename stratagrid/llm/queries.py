@@ -19,6 +19,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_chat_format": chat.OP2_SQL,
+    "op5_warc": warc.OP5_SQL,
     "op6_line_dedup": lines.OP6_SQL,
     "op8_top_k": topk.OP8_SQL,
     "op9_license_scan": licenses.OP9_SQL,

@@ -66,8 +66,7 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
 
     @F.arrow_udf(T.BooleanType())
     def stays(key: pa.Array, second: pa.Array) -> pa.Array:
-        hit, value = table.find(key.to_numpy().view(np.uint64))
-        return pa.array(~(hit & (value["second"] == second.to_numpy())))
+        return pa.array(~table.find(key.to_numpy().view(np.uint64), second.to_numpy())[0])
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     marked = docs.select(row.alias(ROW), F.col("doc_id").cast("long").alias("doc_id"), h.alias("h"), g.alias("g"))

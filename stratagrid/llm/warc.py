@@ -5,8 +5,9 @@ the same pages give the same shards however they were partitioned; an id that se
 many shards by a hash. A task sorts a shard's records and writes them as gzip members, rolling to the next file when
 the compressed size is reached. Headers, record ids and digests are made anew from the row alone, with no clock.
 
-A file is written under a temporary name and renamed when whole. The manifest, itself renamed into place last, names
-the files of the write with their digests; readers open no other file, so a lost or repeated task leaves no trace.
+A file is written under a temporary name and renamed when whole. The manifest's parts, written by the tasks, name the
+files of the write with their digests, and a small file that names the parts is renamed into place last; readers open no
+other file, so a lost or repeated task leaves no trace.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ DATE = "1970-01-01T00:00:00Z"
 _SPACE = uuid.UUID("6f0e2a52-3b0f-5b53-9d6e-6b1a2c9c1e77")
 
 
-def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+def record_id(page_id: int | None, url: str, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{page_id} {digest} {url}')}>"
 
 
@@ -40,17 +41,19 @@ def _clean(value: str) -> str:
     return value.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, is_revisit: bool) -> bytes:
-    """One WARC/1.1 record. A revisit holds the digest and length of its payload, not the payload."""
+def record(page_id: int | None, url: str, payload: bytes, refers_to: tuple[int, str] | None = None) -> bytes:
+    """One WARC/1.1 record. A revisit holds the digest and length of its payload, not the payload; it names the record that
+    does (refers_to: that one's page id and address)."""
     sha = hashlib.sha1(payload)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    is_revisit = refers_to is not None
     block = http if is_revisit else http + payload
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if is_revisit else 'response'}",
         f"WARC-Record-ID: {record_id(page_id, url, sha.hexdigest())}",
         f"WARC-Date: {DATE}",
-        f"WARC-Target-URI: {_clean(url or '')}",
+        f"WARC-Target-URI: {_clean(url)}",
         "Content-Type: application/http;msgtype=response",
         f"WARC-Payload-Digest: sha1:{base64.b32encode(sha.digest()).decode()}",
         f"WARC-Block-Digest: sha1:{base64.b32encode(hashlib.sha1(block).digest()).decode()}",
@@ -58,7 +61,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     ]
     head += [f"X-Page-ID: {page_id}"] if page_id is not None else []
     if is_revisit:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-ID: {refers_to}"]
+        holder, where = refers_to
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(holder, where, sha.hexdigest())}", f"WARC-Refers-To-Target-URI: {_clean(where)}", f"WARC-Refers-To-Date: {DATE}", f"X-Refers-To-Page-ID: {holder}"]
     return ("\r\n".join([*head, f"Content-Length: {len(block)}"]) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
 
 
@@ -105,7 +109,7 @@ def _two_longs(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _split_digest(batches):
     for batch in batches:
         h, second = _two_longs([bytes.fromhex(d) for d in batch.column(0).to_pylist()])
-        yield pa.record_batch({"h": pa.array(h.view(np.int64)), "second": pa.array(second), "keep": batch.column(1)})
+        yield pa.record_batch({"h": pa.array(h.view(np.int64)), "second": pa.array(second), "keep": batch.column(1), "url": batch.column(2)})
 
 
 def _write(folder: str, roll: int, level: int, copies: C.SortedTable, least: int):
@@ -117,8 +121,7 @@ def _write(folder: str, roll: int, level: int, copies: C.SortedTable, least: int
             shards, ids, urls, htmls = (batch.column(i).to_pylist() for i in range(4))
             payloads = [h.encode() for h in htmls]
             h, second = _two_longs([hashlib.sha1(p).digest() for p in payloads])
-            hit, value = copies.find(h)
-            hit &= value["second"] == second
+            hit, value = copies.find(h, second)
             for i, (shard, page_id, url, payload) in enumerate(zip(shards, ids, urls, payloads, strict=True)):
                 if files is None or files.shard != shard:
                     if files is not None:
@@ -127,7 +130,7 @@ def _write(folder: str, roll: int, level: int, copies: C.SortedTable, least: int
                     files = _Files(folder, shard, roll, level)
                 holder = int(value["keep"][i])
                 revisit = bool(hit[i]) and len(payload) >= least and (page_id is None or page_id < holder)
-                files.add(record(page_id, url, payload, holder if revisit else None, revisit))
+                files.add(record(page_id, url, payload, (holder, value["url"][i].decode()) if revisit else None))
         if files is not None:
             files.close()
             done += files.done
@@ -171,20 +174,22 @@ def write_archive(pages: DataFrame, folder: str, min_dedupe_bytes: int = 1000, s
     """Writes a record for every row (page_id, url, html) below ``folder``; gives the URI of the manifest.
 
     Of records with equal payloads of at least ``min_dedupe_bytes`` bytes, those with the largest page id hold the
-    payload (response) and others refer to it (revisit). A null html is an empty payload, a null url an empty address.
+    payload (response) and others refer to it (revisit), by page id and by record id: of several such records, that with
+    the largest address. A null html is an empty payload, a null url an empty address.
     Rows without a page id rank below all others; among equal payloads without any id, all are responses. Rows that
     repeat the largest id are responses each. An empty table gives a manifest without files. Other columns are ignored.
     """
     spark = pages.sparkSession
     C.short_batches(spark)
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    given = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
+    given = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), html.alias("html"))
     size = F.octet_length("html").cast("long")
     # The copies of a payload are pre-aggregated to one row with the largest id; single payloads need none. Writers map
     # the table and look payloads up by digest, so that no text is shuffled for it.
-    light = given.filter(size >= min_dedupe_bytes).select(F.sha1(F.encode("html", "UTF-8")).alias("digest"), "page_id")
-    keep = light.groupBy("digest").agg(F.max("page_id").alias("keep"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND keep IS NOT NULL")
-    copies = C.write_sorted_table(keep.select("digest", "keep").mapInArrow(_split_digest, "h long, second long, keep long"), "warc-copies", ("second", "keep"))
+    light = given.filter(size >= min_dedupe_bytes).select(F.sha1(F.encode("html", "UTF-8")).alias("digest"), F.struct("page_id", "url").alias("row"))
+    keep = light.groupBy("digest").agg(F.max("row").alias("keep"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND keep.page_id IS NOT NULL")
+    split = keep.select("digest", "keep.page_id", F.encode("keep.url", "UTF-8").alias("url")).mapInArrow(_split_digest, "h long, second long, keep long, url binary")
+    copies = C.write_sorted_table(split, "warc-copies", ("second", "keep"), ("url",))
     total = given.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
     # Beyond max_shards, shards get larger; a task streams its shard, so that costs time and no memory.
     shards = min(max_shards, max(1, -(-total["bytes"] // shard_bytes)))
@@ -196,17 +201,21 @@ def write_archive(pages: DataFrame, folder: str, min_dedupe_bytes: int = 1000, s
 
 
 def _commit(folder: str, files: DataFrame) -> str:
-    fs, base = pafs.FileSystem.from_uri(folder)
-    fs.create_dir(base, recursive=True)
-    listed = sorted(files.collect(), key=lambda r: r["name"])  # a row a file of megabytes
-    if sum(r["records"] for r in listed) and len({r["name"] for r in listed}) != len(listed):
+    """Writes the archive's files and, as the rows come, the parts of the manifest; then the manifest itself, which names the
+    folder of its parts and is renamed into place last. The driver holds totals only."""
+    spark = files.sparkSession
+    parts = f"manifest-{uuid.uuid4().hex}"
+    files.write.json(f"{folder}/{parts}")
+    listed = spark.read.schema(MANIFEST).json(f"{folder}/{parts}")
+    if listed.groupBy("name").count().filter("count > 1").limit(1).count():
         raise RuntimeError("two tasks wrote the same file")
+    total = listed.agg(F.count(F.lit(1)).alias("files"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("records", "bytes")]).first()
+    fs, base = pafs.FileSystem.from_uri(folder)
     temporary = f"{base}/.manifest.{uuid.uuid4().hex}"
     with fs.open_output_stream(temporary) as out:
-        for r in listed:
-            out.write((json.dumps(r.asDict(), sort_keys=True) + "\n").encode())
-    fs.move(temporary, f"{base}/manifest.jsonl")
-    return f"{folder}/manifest.jsonl"
+        out.write(json.dumps({"parts": parts, **total.asDict()}, sort_keys=True).encode())
+    fs.move(temporary, f"{base}/manifest.json")
+    return f"{folder}/manifest.json"
 
 
 # ---- reading -----------------------------------------------------------------------------------------------------
@@ -234,13 +243,18 @@ def members(data: bytes):
         data = data[len(data) - len(z.unused_data) :] if z.unused_data else data[:0]
 
 
+#: A row of the manifest: a file of the archive.
+MANIFEST = "name string, shard int, records long, bytes long, sha256 string"
 FIELDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary, file string"
 
 
-def _read(with_payload: bool):
+def _read(folder: str, with_payload: bool):
     def run(batches):
+        fs, base = pafs.FileSystem.from_uri(folder)
         for batch in batches:
-            for name, sha, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for name, sha in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with fs.open_input_stream(f"{base}/{name}", compression=None) as source:
+                    data = source.read()
                 if hashlib.sha256(data).hexdigest() != sha:
                     raise ValueError(f"{name} isn't what its manifest says")
                 rows = []
@@ -275,15 +289,27 @@ def read_archive(spark: SparkSession, manifest: str, with_payload: bool = True)
     A file that differs from its manifest, or a payload from its record, raises an error."""
     C.short_batches(spark)
     folder = manifest.rsplit("/", 1)[0]
-    listed = spark.read.schema("name string, shard int, records long, bytes long, sha256 string").json(manifest)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.warc.gz").load(folder)
-    named = files.select(F.substring_index("path", "/", -1).alias("name"), "content").join(F.broadcast(listed.select("name", "sha256")), "name").select("name", "sha256", "content")
-    return named.mapInArrow(_read(with_payload), FIELDS)
+    fs, path = pafs.FileSystem.from_uri(manifest)
+    with fs.open_input_stream(path) as source:
+        index = json.loads(source.read())
+    listed = spark.read.schema(MANIFEST).json(f"{folder}/{index['parts']}").select("name", "sha256")
+    # A task a file, as long as they are few; a worker holds a file at a time.
+    tasks = max(1, min(index["files"], 16 * C.shuffle_partitions(spark)))
+    return listed.repartition(tasks, "name").mapInArrow(_read(folder, with_payload), FIELDS)
 
 
 def op5_warc(spark, sf_dir: str) -> DataFrame:
     """Writes all pages as a WARC archive and reads it back."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     records = read_archive(spark, write_archive(pages, C.new_folder(spark, "warc")), with_payload=False)
-    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "file")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+#: Rows that repeat a page_id with one payload of the largest id are responses each, as in write_archive.
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
+c AS (SELECT html, max(page_id) AS keep FROM p WHERE strlen(html) >= 1000 GROUP BY html),
+r AS (SELECT p.*, strlen(p.html) AS n, keep, keep IS NOT NULL AND (page_id IS NULL OR page_id < keep) AS again FROM p LEFT JOIN c USING (html))
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN keep END AS refers_to, url FROM r
+"""
 

@@ -58,3 +58,10 @@ def test_bounds_hold():
         assert ((q @ own.T).max(axis=1) <= bounds[:, node]).all()
     same = topk.BallTree.build(np.ones((1000, 4)), np.arange(1000)[::-1].copy(), leaf=10)
     assert [i for _, i in same.search(np.ones(4), 0, same.bounds(np.ones((1, 4)))[0], 3, -np.inf)] == [1, 2, 3]
+
+
+def test_clashing_names(spark):
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(40)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS).selectExpr("*", "1 AS v", "2 AS score", "3 AS shard", "4 AS query_id", "5 AS `rank`")
+    own = topk.integer_vectors(df, "vec_id", "embedding", 256)
+    assert sorted(tuple(r) for r in topk.top_k(own, own.filter("vec_id % 3 = 0"), 5).collect()) == by_hand(rows, 5, lambda q: q % 3 == 0)

@@ -76,3 +76,29 @@ def test_only_the_manifests_files_are_read(spark):
 
 def test_empty(spark):
     assert read(spark, [])[2].count() == 0
+
+
+def test_revisits_name_their_record(spark):
+    folder, _, _ = read(spark, ROWS)
+    records = [warc.parse(m) for data in files_of(folder).values() for m in warc.members(data)]
+    ids = {h["WARC-Record-ID"]: h for h, _ in records if h["WARC-Type"] == "response"}
+    revisits = [h for h, _ in records if h["WARC-Type"] == "revisit"]
+    assert len(revisits) > 40
+    for h in revisits:
+        held = ids[h["WARC-Refers-To"]]
+        assert held["WARC-Payload-Digest"] == h["WARC-Payload-Digest"] and held["X-Page-ID"] == h["X-Refers-To-Page-ID"]
+        assert (held["WARC-Target-URI"], held["WARC-Date"]) == (h["WARC-Refers-To-Target-URI"], h["WARC-Refers-To-Date"])
+    assert {h["WARC-Refers-To-Target-URI"] for h in revisits if h["X-Refers-To-Page-ID"] == "9"} == {"w"}
+
+
+def test_query(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").collect()]
+    got = warc.op5_warc(spark, sf_dir).collect()
+    assert sorted(((r["page_id"], r["url"], r["record_type"], r["payload_bytes"], r["payload_digest"], r["refers_to"]) for r in got), key=str) == by_hand(rows)
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame(ROWS, PAGES).selectExpr("*", "1 AS shard", "'k' AS keep", "2 AS size", "'d' AS digest", "3 AS n", "4 AS row")
+    manifest = warc.write_archive(df, common.new_folder(spark, "warc-test"))
+    got = warc.read_archive(spark, manifest).collect()
+    assert sorted(((r["page_id"], r["url"], r["record_type"], r["payload_bytes"], r["payload_digest"], r["refers_to"]) for r in got), key=str) == by_hand(ROWS)
