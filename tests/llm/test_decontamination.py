@@ -74,3 +74,41 @@ def test_proximity(spark):
 def test_plan_is_native(spark, sf_dir):
     plan = dc.op10_decontamination(spark, sf_dir)._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_clashing_names(spark):
+    """Id columns with names that the operator uses itself, and other columns beside them."""
+    rows = [(i, "x", "one two three four five six seven eight nine ten eleven" if i % 2 else "one two") for i in range(6)]
+    docs = spark.createDataFrame(rows, "row long, at string, text string").selectExpr("row", "at", "text", "1 AS w", "2 AS pos", "'t' AS term", "3 AS block", "4 AS own_0", "5 AS id_0")
+    items = spark.createDataFrame([(1, "two three four five six seven eight nine ten eleven twelve")], "item_id long, text string")
+    got = dc.contamination(docs, items, id_cols=("row", "at"))
+    assert got.columns == ["row", "at", "n_words", "n_hit", "item_ids", "contaminated"]
+    assert sorted((r["row"], r["at"], r["n_words"], r["n_hit"], r["contaminated"]) for r in got.collect()) == [(i, "x", 11, 10, True) if i % 2 else (i, "x", 2, 0, False) for i in range(6)]
+    got = dc.contamination(docs, items, id_cols=("pos", "term"))
+    assert sorted((r["pos"], r["term"], r["n_hit"]) for r in got.collect()) == [(2, "t", 0)] * 3 + [(2, "t", 10)] * 3
+
+
+def test_blocks(spark, monkeypatch):
+    """Windows and neighbourhoods that lie across blocks of positions."""
+    rng = random.Random(5)
+    items = [(i, " ".join(rng.choice("abcde") for _ in range(4))) for i in range(6)]
+    docs = [(i, " ".join(rng.choice("abcdex") for _ in range(rng.choice([3, 30, 200])))) for i in range(30)]
+    for block in (1, 2, 5):
+        monkeypatch.setattr(dc, "BLOCK", block)
+        assert run(spark, docs, items, size=4) == by_hand(docs, items, 4)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    queries = dc.windows(spark.createDataFrame([(1, "a b e")], "item_id long, text string"))
+    index = dc.build_index(df, ["a", "b", "e"], reach=9)
+    asked = dc.rarest(index.counts(), queries).collect()[0]["term"]
+    for within in (2, 4):
+        got = {(r["doc_id"], r["pos"]) for r in dc.proximity_matches(index, dc.rarest(index.counts(), queries), within).join(index.documents, "row").collect()}
+        want = {(d, k) for d, t in docs for k, w in enumerate(t.split()) if w == asked and {"a", "b", "e"} <= set(t.split()[max(0, k - within) : k + within + 1])}
+        assert got == want
+
+
+def test_benchmark_terms_are_not_in_the_plan(spark):
+    """The plan doesn't grow with the benchmark."""
+    docs = spark.createDataFrame([(1, "w1 w2 w3")], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"only{i} in{i} the{i} benchmark{i}") for i in range(50)], "item_id long, text string")
+    plan = dc.contamination(docs, items)._jdf.queryExecution().toString()
+    assert "only7" not in plan and "benchmark" not in plan
