@@ -1,7 +1,7 @@
 """License scans: phrases, and an exact set-similarity join of license templates with the corpus' text blocks.
 
-A block is a line, as the set of its words; a scan can also take blocks across line ends, windows of twice as many words
-as the template has, for notices that wrap. A template is found in a block that holds at least a threshold of the
+Templates are short notices, whole notices and whole license texts. A block is a line, as the set of its words; a scan can
+also take blocks across line ends, windows of twice as many words as the template has, for notices and texts that wrap. A template is found in a block that holds at least a threshold of the
 template's distinct words. The join is exact and filters first:
 
 - order: words are ordered by how many blocks of the corpus hold them, rarest first, counted over all documents;
@@ -28,7 +28,7 @@ from . import common as C
 
 #: Phrases whose places are counted, and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Notices that are looked for as sets of words.
+#: Short notices that are looked for as sets of words.
 TEMPLATES = {
     "apache": "licensed under the apache license version 2 0",
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted",
@@ -40,6 +40,64 @@ TEMPLATES = {
     "mpl": "this source code form is subject to the terms of the mozilla public license v 2 0",
     "public-domain": "this work has been released into the public domain",
 }
+#: Whole texts of public licenses, and the whole notices that others ask for.
+TEXTS = {
+    "apache-2.0-notice": """
+        Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+        the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by
+        applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
+        governing permissions and limitations under the License.""",
+    "bsd-2-clause": """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright
+        notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided
+        with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+        IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+        PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT,
+        INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+        SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
+        THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN
+        ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "gpl-3.0-notice": """
+        This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+        version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
+        details. You should have received a copy of the GNU General Public License along with this program. If not, see
+        <https://www.gnu.org/licenses/>.""",
+    "isc": """
+        Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
+        PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
+        OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+        CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
+        CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
+        SOFTWARE.""",
+    "mit-text": """
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+        persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice
+        and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS
+        PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+        HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "unlicense": """
+        This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
+        compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
+        commercial or non-commercial, and by any means.""",
+    "zlib": """
+        This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+        liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for
+        any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+        restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original
+        software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated
+        but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being
+        the original software. 3. This notice may not be removed or altered from any source distribution.""",
+}
 #: With it, templates of fewer than 10 words are met by all of them; one word tells licenses apart.
 THRESHOLD = 0.9
 
@@ -193,6 +251,15 @@ def _scan(join: Join, phrases: dict[str, str], text_at: int, names: list[str], a
     return run
 
 
+def read_templates(spark, path: str, at_most: int = 10_000) -> dict[str, str]:
+    """Templates from a folder of text files, a license a file, named by the files without their endings; for more texts than
+    are here. More files than at_most raise an error, since templates go to every task."""
+    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[^./]*)?$", 1).alias("name"), "value").limit(at_most + 1).collect()
+    if len(files) > at_most:
+        raise ValueError(f"more than {at_most} templates")
+    return {r["name"]: r["value"] for r in files}
+
+
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, threshold: float = THRESHOLD, text_col: str = "text", across_lines: bool = False) -> DataFrame:
     """All columns of docs and: n_words, n_base (places of the phrases), first_word and last_word (their smallest and
     largest start, else null), base_labels and labels (the phrases', and these with the templates'; distinct, sorted,
@@ -216,9 +283,9 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, phra
 
 
 def op9_license_scan(spark, sf_dir: str) -> DataFrame:
-    """License notices in all documents, wrapped ones too."""
+    """License notices and whole license texts in all documents, wrapped ones too."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return scan_licenses(docs, across_lines=True).select("doc_id", *[n for n, _ in FIELDS])
+    return scan_licenses(docs, TEMPLATES | TEXTS, across_lines=True).select("doc_id", *[n for n, _ in FIELDS])
 
 
 def oracle_sql() -> str:
@@ -229,7 +296,7 @@ def oracle_sql() -> str:
     text = lower.format("coalesce(text, '')")
     quoted = lambda ws: "[" + ", ".join(f"'{w.decode()}'" for w in ws) + "]"
     phrases = ", ".join(f"({quoted(words_of(p.encode()))}, '{label}')" for p, label in PHRASES.items())
-    templates = ", ".join(f"('{n}', {quoted(sorted(set(words_of(t.encode()))))})" for n, t in sorted(TEMPLATES.items()))
+    templates = ", ".join(f"('{n}', {quoted(sorted(set(words_of(t.encode()))))})" for n, t in sorted((TEMPLATES | TEXTS).items()))
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all({text}, {word}) AS w FROM documents),
 p(words, label) AS (VALUES {phrases}),

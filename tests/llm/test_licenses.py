@@ -100,3 +100,42 @@ def test_windows_are_exact(spark, threshold):
             assert len(want & set(w[s["first"] : s["first"] + s["words"]])) / len(want) == pytest.approx(s["containment"])
         more += len(found) > 0
     assert more > 10
+
+
+def test_whole_texts(spark, tmp_path):
+    """Whole license texts, wrapped as files and comments wrap them, with some words of their own, and halves of them."""
+    rows, want = [], {}
+    for i, (name, text) in enumerate(licenses.TEXTS.items()):
+        w = text.split()
+        for j, (width, lead) in enumerate(((60, "# "), (100, " * "), (40, "// "))):
+            lines, line = [], lead
+            for x in w:
+                if len(line) + len(x) > width:
+                    lines.append(line)
+                    line = lead
+                line += x + " "
+            rows.append((10 * i + j, "code before\n\n" + "\n".join([lead + "Copyright (c) 2001 Some One", *lines, line]) + "\n\ncode after\n" * 5))
+            want[10 * i + j] = name
+        rows.append((10 * i + 9, "code\n" + "\n".join(w[: len(w) // 2])))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in licenses.op9_license_scan(spark, str(tmp_path)).collect():
+        own = set(r["labels"].split(",")) & set(licenses.TEXTS)
+        assert own == ({want[r["doc_id"]]} if r["doc_id"] in want else set()), r
+        assert r["doc_id"] not in want or r["score"] >= licenses.THRESHOLD
+
+
+def test_templates_from_files(spark, tmp_path):
+    (tmp_path / "own-1.0.txt").write_text("Only with our\nwritten leave")
+    (tmp_path / "other").write_text("Do as you please with this")
+    found = licenses.read_templates(spark, str(tmp_path))
+    assert found == {"own-1.0": "Only with our\nwritten leave", "other": "Do as you please with this"}
+    got = licenses.scan_licenses(spark.createDataFrame([(1, "x only with\nour written\nleave y")], "doc_id long, text string"), found, across_lines=True).first()
+    assert got["labels"] == "own-1.0"
+    with pytest.raises(ValueError, match="more than 1"):
+        licenses.read_templates(spark, str(tmp_path), at_most=1)
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "released under the MIT license")], "doc_id long, text string").selectExpr("*", "1 AS n_words", "'x' AS labels", "2 AS word", "3 AS n", "4 AS spans")
+    got = licenses.scan_licenses(df)
+    assert got.columns == ["doc_id", "text", "word", "n", *FIELDS, "spans"] and got.first()["labels"] == "mit"
