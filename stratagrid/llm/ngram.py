@@ -25,8 +25,10 @@ from . import common as C
 ODD = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 END = b"\n"
-#: Ids have 31 bits; the start of a text is the largest, and serves as a context only.
-START, UNKNOWN = np.int64((1 << 31) - 1), np.int64((1 << 31) - 2)
+#: Ids have 32 bits; the start of a text is the largest, and serves as a context only.
+START, UNKNOWN = np.int64((1 << 32) - 1), np.int64((1 << 32) - 2)
+#: Bytes of text of one shard of words or bigrams, about.
+SHARD_BYTES = 64 << 20
 #: Words whose hashes a worker remembers at most.
 REMEMBERED = 1 << 20
 
@@ -127,10 +129,6 @@ def _blocks(batches):
         yield (last, *_merge(parts))
 
 
-def _dealt(df: DataFrame, bits: int) -> DataFrame:
-    return df.repartitionById(1 << bits, "shard").sortWithinPartitions("shard")
-
-
 # ---- counting ----------------------------------------------------------------------------------------------------
 
 
@@ -243,7 +241,7 @@ def _write_bigrams(folder: str, id_bits: int, slices: int):
         width = max(1, -(-(1 << id_bits) // slices))
         for shard, keys, counts in _blocks(batches):
             C.put_array(folder, f"pairs-{shard}", keys)
-            C.put_array(folder, f"paircounts-{shard}", np.minimum(counts, (1 << 32) - 1).astype(np.uint32))
+            C.put_array(folder, f"paircounts-{shard}", counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.int64))
             plain = keys * BACK
             context, sums = _tally((plain >> np.uint64(32)).astype(np.int64), counts)
             word, follows = np.unique((plain & np.uint64((1 << 32) - 1)).astype(np.int64), return_counts=True)
@@ -274,30 +272,40 @@ def _slice_sums(blocks: list[bytes], low: int, high: int, columns: int) -> tuple
 
 
 def _write_slices(folder: str, size: int, width: int):
-    """One task a slice of ids: sums the shares and writes the arrays of the slice; gives counts of continuation counts."""
+    """Rows of one slice of ids after another: sums the shares and writes the arrays of the slice; gives counts of
+    continuation counts."""
+
+    def written(s: int, blocks: dict[int, list[bytes]]):
+        low, high = s * width, min(size, (s + 1) * width)
+        stats, start = _slice_sums(blocks[0], low, high, len(STATS))
+        follows, _ = _slice_sums(blocks[1], low, high, 1)
+        C.put_array(folder, f"contexts-{s}", np.ascontiguousarray(stats.T))
+        C.put_array(folder, f"follows-{s}", follows[0])
+        if s == 0:
+            C.put_array(folder, "start", start)
+        have = np.bincount(np.minimum(follows[0], 5), minlength=6)
+        return pa.record_batch({"have": pa.array([[*have[1:5].tolist(), int(follows[0].sum()), int((follows[0] >= 3).sum())]], pa.list_(pa.int64()))})
 
     def run(batches):
-        own: dict[int, dict[int, list[bytes]]] = {}
+        last, blocks = None, {0: [], 1: []}
         for batch in batches:
             for s, what, block in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                own.setdefault(s, {0: [], 1: []})[what].append(block)
-        for s, blocks in own.items():
-            low, high = s * width, min(size, (s + 1) * width)
-            stats, start = _slice_sums(blocks[0], low, high, len(STATS))
-            follows, _ = _slice_sums(blocks[1], low, high, 1)
-            C.put_array(folder, f"contexts-{s}", np.ascontiguousarray(stats.T))
-            C.put_array(folder, f"follows-{s}", follows[0])
-            if s == 0:
-                C.put_array(folder, "start", start)
-            have = np.bincount(np.minimum(follows[0], 5), minlength=6)
-            yield pa.record_batch({"have": pa.array([[*have[1:5].tolist(), int(follows[0].sum()), int((follows[0] >= 3).sum())]], pa.list_(pa.int64()))})
+                if s != last:
+                    if last is not None:
+                        yield written(last, blocks)
+                    last, blocks = s, {0: [], 1: []}
+                blocks[what].append(block)
+        if last is not None:
+            yield written(last, blocks)
 
     return run
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts for counts 1, 2, 3 and more, from how many n-grams have count 1, 2, 3 and 4. A
-    count of counts of zero makes the formula undefined; such a discount falls back to 0.5, 0.75 or 0.9 of its range."""
+    count of counts of zero makes the formula undefined; such a discount falls back to 0.5, 0.75 or 0.9 of its range. A
+    discount is held within 0.05 and 0.95 of its count, since small corpora, whose counts of counts don't fall steadily,
+    give some at or beyond the ends, where a word would get no probability or none would be spared."""
     n1, n2, n3, n4 = n
     y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.5
     out = []
@@ -382,9 +390,10 @@ def train(texts: DataFrame, text_col: str = "text") -> Model:
     is its words and one end. An empty table gives a model that knows no word and takes all words as equally likely."""
     spark = texts.sparkSession
     C.short_batches(spark)
-    folder, bits = C.new_folder(spark, "ngram"), C.fold(spark)
     given = texts.select(F.col(text_col).cast("string").alias("text"))
-    counted = _dealt(given.mapInArrow(_count_words(bits), "shard int, block binary"), bits)
+    # A shard's words and bigrams are merged in one worker, so there are as many shards as the texts need.
+    folder, bits = C.new_folder(spark, "ngram"), C.fold(spark, C.text_bytes(given), SHARD_BYTES)
+    counted = C.dealt(given.mapInArrow(_count_words(bits), "shard int, block binary"), bits, "shard")
     sizes, tokens = np.zeros(1 << bits, dtype=np.int64), 0
     for r in counted.mapInArrow(_write_words(folder), "shard int, n long, tokens long").collect():
         sizes[r["shard"]] = r["n"]
@@ -400,12 +409,12 @@ def train(texts: DataFrame, text_col: str = "text") -> Model:
     slices = 1 << bits
     id_bits = max(1, vocabulary.size.bit_length())
     width = max(1, -(-(1 << id_bits) // slices))
-    pairs = _dealt(given.mapInArrow(_count_bigrams(vocabulary, bits), "shard int, block binary"), bits)
+    pairs = C.dealt(given.mapInArrow(_count_bigrams(vocabulary, bits), "shard int, block binary"), bits, "shard")
     shares = C.materialize(pairs.mapInArrow(_write_bigrams(folder, id_bits, slices), "slice int, what int, block binary"), "ngram-shares")
     # Counts of counts: a row of four numbers a shard.
     have = np.sum([np.frombuffer(bytes(r["block"]), dtype="<i8") for r in shares.filter("what = 2").collect()], axis=0).tolist()
     written = {b for b in range(1 << bits)}
-    sums = shares.filter("what < 2").repartitionById(slices, "slice").mapInArrow(_write_slices(folder, vocabulary.size, width), "have array<long>").collect()
+    sums = C.dealt(shares.filter("what < 2"), bits, "slice").mapInArrow(_write_slices(folder, vocabulary.size, width), "have array<long>").collect()
     totals = np.sum([r["have"] for r in sums], axis=0)
     C.remove(shares.stored_at)
     for b in written:

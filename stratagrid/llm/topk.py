@@ -2,8 +2,8 @@
 
 A node holds a centre, a radius and, for a query q, an upper bound on inner products: q.centre + |q| * radius. A search
 takes a shard's nodes in the order of their bounds and ends when the next bound is below the query's k-th score so far.
-That score is shared: it comes with a block of queries into each shard. A first round searches one shard and stores its
-k-th scores, and the second round starts all others from there.
+That score is shared: it comes with a block of queries into each shard. Rounds search one shard, the next two, the next
+four and so on; each starts from the k-th scores of all shards before it.
 
 Trees and blocks of queries are written to the shared folder; a task reads one tree and one block at a time, so memory
 is bounded by their sizes, and neither vectors nor queries are broadcast. The stated query set meets all vectors in
@@ -136,7 +136,7 @@ def _write_trees(folder: str, dims: int):
             tree = BallTree.build(_matrix(rows[2].combine_chunks(), dims), rows[1].to_numpy())
             for name, array in vars(tree).items():
                 C.put_array(folder, f"{name}-{shard}", array)
-            yield pa.record_batch({"n": pa.array([1], pa.int32())})
+            yield pa.record_batch({"part": pa.array([shard], pa.int32())})
 
     return run
 
@@ -147,14 +147,27 @@ def _write_queries(folder: str, dims: int):
             order = np.argsort(rows[1].to_numpy(), kind="stable")
             C.put_array(folder, f"queries-{block}", _matrix(rows[2].combine_chunks(), dims)[order])
             C.put_array(folder, f"query_ids-{block}", rows[1].to_numpy()[order])
-            yield pa.record_batch({"n": pa.array([1], pa.int32())})
+            yield pa.record_batch({"part": pa.array([block], pa.int32())})
 
     return run
 
 
-def _search(folder: str, k: int, share: bool, shards: list[int], blocks: list[int]):
-    """Rows (number of a pair of shard and block): searches the block's queries in the shard's tree. share: begin at the
-    first round's scores."""
+def _write_floors(folder: str, turn: int):
+    """Rows (block, query_id, kth) of one block after another: the scores from which a block's queries start in a round."""
+
+    def run(batches):
+        for block, rows in _gather(batches):
+            ids = np.asarray(C.get_array(folder, f"query_ids-{block}"))
+            floors = dict(zip(rows[1].to_pylist(), rows[2].to_pylist(), strict=True))
+            C.put_array(folder, f"floors-{turn}-{block}", np.array([floors.get(q, -np.inf) for q in ids.tolist()], dtype=np.float64))
+            yield pa.record_batch({"part": pa.array([block], pa.int32())})
+
+    return run
+
+
+def _search(folder: str, k: int, turn: int, shards: list[int], blocks: list[int]):
+    """Rows (number of a pair of shard and block): searches the block's queries in the shard's tree, from the scores of the
+    rounds before."""
 
     def run(batches):
         for batch in batches:
@@ -162,15 +175,10 @@ def _search(folder: str, k: int, share: bool, shards: list[int], blocks: list[in
                 shard, block = shards[pair // len(blocks)], blocks[pair % len(blocks)]
                 tree = BallTree(**{f: np.asarray(C.get_array(folder, f"{f}-{shard}")) for f in BallTree.__dataclass_fields__})
                 queries, ids = np.asarray(C.get_array(folder, f"queries-{block}")), np.asarray(C.get_array(folder, f"query_ids-{block}"))
-                floors = np.asarray(C.get_array(folder, f"floors-{block}")) if share else np.full(len(ids), -np.inf)
+                floors = np.asarray(C.get_array(folder, f"floors-{turn}-{block}")) if turn else np.full(len(ids), -np.inf)
                 bounds, rows = tree.bounds(queries), []
                 for q in range(len(ids)):
                     rows += [(int(ids[q]), i, s) for s, i in tree.search(queries[q], int(ids[q]), bounds[q], k, floors[q])]
-                if not share:  # a score that k others reach is a floor for all other shards
-                    kth = {}
-                    for q, _, s in rows:
-                        kth.setdefault(q, []).append(s)
-                    C.put_array(folder, f"floors-{block}", np.array([min(kth[q]) if len(kth.get(q, ())) >= k else -np.inf for q in ids.tolist()], dtype=np.float64))
                 if rows:
                     q, i, s = zip(*rows, strict=True)
                     yield pa.record_batch({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(i, pa.int64()), "score": pa.array(s, pa.int64())})
@@ -202,22 +210,31 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     dims = max(sizes["dims"], asked["dims"], 1)
     shards, blocks = -(-sizes["n"] // shard_rows), -(-asked["n"] // block_rows)
     deal = lambda df, n, name: df.select(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(n)).cast("int").alias(name), "vec_id", "v").repartitionById(n, name)
-    present = lambda df, n: sorted(r[0] for r in df.select(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(n)).cast("int")).distinct().collect())
-    deal(vectors, shards, "shard").mapInArrow(_write_trees(folder, dims), "n int").agg(F.sum("n")).collect()
-    deal(queries, blocks, "block").mapInArrow(_write_queries(folder, dims), "n int").agg(F.sum("n")).collect()
-    have, ask = present(vectors, shards), present(queries, blocks)
+    have = sorted(r["part"] for r in deal(vectors, shards, "shard").mapInArrow(_write_trees(folder, dims), "part int").collect())
+    ask = sorted(r["part"] for r in deal(queries, blocks, "block").mapInArrow(_write_queries(folder, dims), "part int").collect())
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
-    def round_of(own: list[int], share: bool) -> DataFrame:
+    def round_of(own: list[int], turn: int) -> DataFrame:
         n = len(own) * len(ask)
         pairs = spark.range(0, n, 1, min(n, 100_000))  # a task a pair, as long as tasks are few enough
-        found = pairs.mapInArrow(_search(folder, k, share, own, ask), "query_id long, vec_id long, score long")
-        return C.materialize(found, "top-k")
-
-    found = round_of(have[:1], False)
-    if have[1:]:
-        found = found.unionByName(round_of(have[1:], True))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+        found = pairs.mapInArrow(_search(folder, k, turn, own, ask), "query_id long, vec_id long, score long")
+        return C.materialize(found, "top-k", rows=k * asked["n"] * len(own))
+
+    best = round_of(have[:1], 0)
+    done, turn = 1, 0
+    while done < len(have):
+        turn += 1
+        # A score that k others reach is a floor for all other shards; of what was found, no query keeps more than k rows.
+        kth = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").cast("double").alias("kth")).filter(F.col("n") >= k)
+        rows = kth.select(F.pmod(F.xxhash64("query_id", F.lit(3)), F.lit(blocks)).cast("int").alias("block"), "query_id", "kth").repartitionById(blocks, "block")
+        written = {r["part"] for r in rows.mapInArrow(_write_floors(folder, turn), "part int").collect()}
+        for block in set(ask) - written:
+            C.put_array(folder, f"floors-{turn}-{block}", np.full(len(C.get_array(folder, f"query_ids-{block}")), -np.inf))
+        more = best.unionByName(round_of(have[done : done + (1 << turn)], turn))
+        done += 1 << turn
+        ranked = more.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        best = C.materialize(ranked.drop("rank"), "top-k-so-far", rows=k * asked["n"])
+    return best.withColumn("rank", F.row_number().over(order)).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def op8_top_k(spark, sf_dir: str) -> DataFrame:
