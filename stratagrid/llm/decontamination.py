@@ -1,30 +1,31 @@
 """Benchmark decontamination by a distributed positional inverted index; DataFrame and SQL functions only.
 
-1. Every text is split into words once. The words that the benchmark has become postings (document, position, term) in the
-   shared folder; the last word of a document also carries its columns and its number of words.
-2. Terms are counted from the postings. Every window of consecutive item words has a rarest and a next rarest term.
-3. The postings of a window's rarest term, shifted by its offset, are the places where the window could start; the shifted
-   postings of its next rarest term are intersected with them.
-4. Where both meet, the lists of all its terms are intersected at their offsets: the postings of these documents, in
-   blocks of positions, are looked up from each start. The result is exact.
-
-Tables are joined by term, by (document, position) and by (document, block). Spark broadcasts the side that it finds small,
-as the benchmark's terms mostly are, and shuffles with skew handling otherwise; a very common word is no hot key, since
-words that aren't terms are dropped where they are read and a term's postings only meet rows of one document and place.
+1. The terms of the benchmark are counted over the whole corpus.
+2. Every window of consecutive item words has a rarest and a next rarest term. The postings of these are stored: document,
+   position and term, and for rarest terms the words around, as far as a window can reach. The last word of a document also
+   carries its columns and its number of words.
+3. The postings of a window's rarest term, shifted by its offset, are the places where it could start; the postings of its
+   next rarest term, shifted by its own, are intersected with them.
+4. The lists of its other, common terms are met in place, in the stored surroundings of the places that are left. These
+   lists would be half of all words; so they are neither stored nor moved, and the result is exact.
+
+Terms are joined to words where texts are split, as broadcasts of at most ``BLOCK`` terms; a larger benchmark takes several
+passes. A very common word is no hot key: words that aren't wanted go where they are read, and a term's postings are dealt
+by document and position.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import common as C
 
-#: Positions of one block of a document's postings, which a look-up reads through.
-BLOCK = 512
+#: Terms of one broadcast.
+BLOCK = 1 << 20
 #: What stands between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -43,126 +44,90 @@ def windows(items: DataFrame, size: int = 10, id_col: str = "item_id", text_col:
     return own.select("item", F.explode(F.transform(starts, lambda i: F.slice("w", i, size))).alias("window")).groupBy("window").agg(F.collect_set("item").alias("items"))
 
 
-def _table(docs: DataFrame, terms: DataFrame | list[str]) -> DataFrame:
-    """Distinct terms (term) as a table."""
+def _table(docs: DataFrame, terms: DataFrame | list[str], *more: str) -> DataFrame:
+    """Distinct terms (term and more), stored."""
     rows = terms if isinstance(terms, DataFrame) else docs.sparkSession.createDataFrame([(t,) for t in terms], "term string")
-    return rows.select("term").distinct()
+    return C.materialize(rows.select("term", *more).distinct(), "terms")
+
+
+def _blocks(terms: DataFrame) -> list[DataFrame]:
+    """The terms in parts of about BLOCK, dealt by their hashes."""
+    n = max(1, -(-terms.count() // BLOCK))
+    return [terms.filter(F.pmod(F.xxhash64(F.lit(11), "term"), F.lit(n)) == i) for i in range(n)]
 
 
 def term_counts(docs: DataFrame, terms: DataFrame | list[str], text_col: str = "text") -> DataFrame:
     """(term, n): how often each of the terms stands in the corpus; terms that don't are left out."""
     each = docs.select(F.explode(words(F.col(text_col).cast("string"))).alias("term"))
-    return each.join(_table(docs, terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    parts = [each.join(F.broadcast(b), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n")) for b in _blocks(_table(docs, terms))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @dataclass
 class Index:
-    """documents: a row per document: row, the given columns, n_words. postings: row, code and pos, one for each place of a
-    term; a term's code is its hash with a seed that gives no two of the index's terms the same one."""
+    """documents: a row per document: row, the given columns, n_words. postings: row, term, pos, and of terms whose
+    surroundings are kept first (the position where these begin) and near (the words there)."""
 
     documents: DataFrame
     postings: DataFrame
-    terms: DataFrame
     reach: int
-    seed: int
-
-    def code(self, term: Column) -> Column:
-        return F.xxhash64(F.lit(self.seed), term)
-
-    def counts(self) -> DataFrame:
-        """(term, n) of all terms."""
-        own = self.postings.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
-        return self.terms.select("term", self.code(F.col("term")).alias("code")).join(own, "code").select("term", "n")
-
-    def blocks(self, rows: DataFrame, before: int) -> DataFrame:
-        """(row, block, at, codes) of some documents (row): their postings in order of position. A block has those of BLOCK
-        positions and of so many beyond it, so that what begins in a block is found in it as a whole."""
-        own = self.postings.join(rows, "row", "left_semi")
-        first = F.floor((F.col("pos") - before) / F.lit(BLOCK))
-        spread = F.explode(F.sequence(F.greatest(first, F.lit(0)), F.floor(F.col("pos") / F.lit(BLOCK))))
-        held = own.withColumn("block", spread).groupBy("row", "block").agg(F.array_sort(F.collect_list(F.struct("pos", "code"))).alias("p"))
-        return held.select("row", "block", F.col("p.pos").alias("at"), F.col("p.code").alias("codes"))
-
-
-def _seed(terms: DataFrame) -> int:
-    """The first seed with which no two terms have the same hash."""
-    seed = 0
-    while (n := terms.agg(F.count(F.lit(1)).alias("all"), F.count_distinct(F.xxhash64(F.lit(seed), "term")).alias("codes")).first())["all"] != n["codes"]:
-        seed += 1
-    return seed
-
-
-def build_index(docs: DataFrame, terms: DataFrame | list[str], reach: int = 9, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text", around: bool = True) -> Index:
-    """Positional postings of the terms, written to the shared folder. around: also those of the words up to ``reach``
-    places from a term, for queries of which only some words were given as terms; such words are known by their hash
-    alone."""
-    terms = C.materialize(_table(docs, terms), "terms")
-    seed = _seed(terms)
-    ids = [F.col(f"`{c}`").alias(f"id_{i}") for i, c in enumerate(id_cols)]
-    own = docs.select(F.monotonically_increasing_id().alias("row"), *ids, words(F.col(text_col).cast("string")).alias("w"))
+
+
+def build_index(docs: DataFrame, terms: DataFrame | list[str], reach: int = 9, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> Index:
+    """Positional postings of the terms, with the words up to ``reach`` places away, written to the shared folder. A table of
+    terms tells by a column around which terms keep their surroundings; those of a list all do."""
+    terms = terms.select("term", "around") if isinstance(terms, DataFrame) else docs.sparkSession.createDataFrame([(t, True) for t in terms], "term string, around boolean")
+    parts = _blocks(_table(docs, terms, "around"))
     names = [f"id_{i}" for i in range(len(id_cols))]
-    each = own.select("row", *names, F.size("w").alias("n"), F.posexplode_outer("w").alias("pos", "term"))
-    held = each.join(terms.withColumn("held", F.lit(True)), "term", "left")
-    if around:
-        near = Window.partitionBy("row").orderBy("pos").rowsBetween(-reach, reach)
-        held = held.withColumn("held", F.max(F.coalesce("held", F.lit(False))).over(near))
-    last = F.col("pos").isNull() | (F.col("pos") == F.col("n") - 1)
-    kept = held.withColumn("held", F.coalesce("held", F.lit(False)) & F.col("pos").isNotNull()).filter(F.col("held") | last)
-    columns = [F.when(last, F.col(c)).alias(c) for c in names]
-    code = F.when(F.col("held"), F.xxhash64(F.lit(seed), "term"))
-    stored = C.materialize(kept.select("row", "pos", code.alias("code"), *columns, F.when(last, F.col("n")).cast("long").alias("n_words")), "postings")
-    documents = stored.filter("n_words IS NOT NULL").select("row", *[F.col(n).alias(c) for n, c in zip(names, id_cols, strict=True)], "n_words")
-    return Index(documents, stored.filter("code IS NOT NULL").select("row", "code", "pos"), terms, reach, seed)
+    ids = [F.col(f"`{c}`").alias(n) for n, c in zip(names, id_cols, strict=True)]
+    own = docs.select(F.monotonically_increasing_id().alias("row"), *ids, words(F.col(text_col).cast("string")).alias("w"))
+    if len(parts) > 1:  # numbered once for all passes
+        own = C.materialize(own, "words")
+    each = own.select("row", *names, "w", F.posexplode_outer("w").alias("pos", "term"))
+    first, last = F.greatest(F.col("pos") - reach, F.lit(0)), F.col("pos").isNull() | (F.col("pos") == F.size("w") - 1)
+    stored = []
+    for k, part in enumerate(parts):
+        # The words of a text stay where they are split: a row is made for a word that is found, not for every word.
+        found = each.join(F.broadcast(part), "term", "left").filter(F.col("around").isNotNull() | (last if k == 0 else F.lit(False)))
+        near = F.when(F.col("around"), F.slice("w", first + 1, F.col("pos") + reach - first + 1))
+        columns = [F.when(last, F.col(n)).alias(n) if k == 0 else F.lit(None).cast(each.schema[n].dataType).alias(n) for n in names]
+        n_words = F.when(last, F.size("w").cast("long")) if k == 0 else F.lit(None).cast("long")
+        stored.append(C.materialize(found.select("row", F.when(F.col("around").isNotNull(), F.col("term")).alias("term"), "pos", first.alias("first"), near.alias("near"), *columns, n_words.alias("n_words")), "postings"))
+    documents = stored[0].filter("n_words IS NOT NULL").select("row", *[F.col(n).alias(c) for n, c in zip(names, id_cols, strict=True)], "n_words")
+    postings = reduce(DataFrame.unionByName, [p.filter("term IS NOT NULL").select("row", "term", "pos", "first", "near") for p in stored])
+    return Index(documents, postings, reach)
 
 
 def rarest(counts: DataFrame, queries: DataFrame) -> DataFrame:
-    """Adds to queries (window) the rarest of its terms and its first offset, and the next rarest at another offset (other:
-    its term and offset; null for a single word). Queries with a term that the corpus lacks are left out, since they have
-    no match."""
+    """Adds to queries (window) the rarest of its terms and its first offset, and the next rarest at another offset (other
+    and beside; null of a single word). Queries with a term that the corpus lacks are left out, since they have no match."""
     exploded = queries.select("window", F.posexplode("window").alias("offset", "term"))
     ranked = exploded.join(counts, "term", "left").groupBy("window").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "offset"))).alias("rank"))
     first, other = F.get("rank", F.lit(0)), F.get("rank", F.lit(1))
-    found = ranked.filter(first["n"] > 0).select("window", first["term"].alias("term"), first["offset"].alias("offset"), F.when(other.isNotNull(), F.struct(other["term"].alias("term"), other["offset"].alias("offset"))).alias("other"))
-    return queries.join(found, "window").select(*queries.columns, "term", "offset", "other")
-
-
-def _lists(index: Index, codes: DataFrame) -> DataFrame:
-    """The postings of some terms (code)."""
-    return index.postings.join(codes.distinct(), "code", "left_semi")
+    found = ranked.filter(first["n"] > 0).select("window", first["term"].alias("term"), first["offset"].alias("offset"), other["term"].alias("other"), other["offset"].alias("beside"))
+    return queries.join(found, "window").select(*queries.columns, "term", "offset", "other", "beside")
 
 
 def phrase_matches(index: Index, queries: DataFrame) -> DataFrame:
-    """(row, start, size, items) wherever a query's words stand consecutively. Queries have window, items, term, offset and
-    other; their words are terms of the index."""
-    coded = queries.select("window", "items", F.transform("window", index.code).alias("codes"), index.code(F.col("term")).alias("code"), "offset",
-                           F.when(F.col("other").isNotNull(), index.code(F.col("other.term"))).alias("other"), F.col("other.offset").alias("beside"))
-    queries = C.materialize(coded.withColumn("query", F.monotonically_increasing_id()), "queries")
-    firsts = _lists(index, queries.select("code")).join(queries.select("query", "code", "offset", "other", "beside"), "code")
-    firsts = firsts.select("row", "query", (F.col("pos") - F.col("offset")).alias("start"), "other", "beside").filter("start >= 0")
-    wanted = firsts.filter("other IS NOT NULL").select("row", "query", "start", (F.col("start") + F.col("beside")).alias("pos"), F.col("other").alias("code"))
-    others = _lists(index, queries.filter("other IS NOT NULL").select(F.col("other").alias("code")))
-    met = wanted.join(others, ["row", "pos", "code"], "left_semi").select("row", "query", "start")
-    met = C.materialize(met.unionByName(firsts.filter("other IS NULL").select("row", "query", "start")), "met")
-    blocks = index.blocks(met.select("row").distinct(), index.reach)
-    asked = met.withColumn("block", F.floor(F.col("start") / F.lit(BLOCK))).join(queries.select("query", F.col("codes").alias("wanted"), "items"), "query").join(blocks, ["row", "block"])
-    size = F.size("wanted")
-    k = F.array_position("at", F.col("start")).cast("int")
-    # The k-th and the following postings are those of the window's words, one after another.
-    same = (k > 0) & (F.get("at", k + size - 2) == F.col("start") + size - 1) & (F.slice("codes", F.greatest(k, F.lit(1)), size) == F.col("wanted"))
-    return asked.filter(same).select("row", "start", size.alias("size"), "items")
+    """(row, start, size, items) wherever a query's words stand consecutively. Queries have window, items, term, offset, other
+    and beside; the index has postings of term, with surroundings, and of other."""
+    queries = C.materialize(queries.withColumn("query", F.monotonically_increasing_id()), "queries")
+    light = index.postings.select("row", "term", "pos")
+    firsts = light.join(queries.select("query", "term", "offset", "other", "beside"), "term").filter(F.col("pos") >= F.col("offset")).select("row", "query", "pos", "offset", "other", "beside")
+    wanted = firsts.filter("other IS NOT NULL").select("row", "query", F.col("pos").alias("at"), (F.col("pos") - F.col("offset") + F.col("beside")).alias("pos"), F.col("other").alias("term"))
+    met = wanted.join(light, ["row", "pos", "term"], "left_semi").select("row", "query", F.col("at").alias("pos"))
+    met = met.unionByName(firsts.filter("other IS NULL").select("row", "query", "pos"))
+    placed = met.join(index.postings.filter("near IS NOT NULL").select("row", "pos", "first", "near"), ["row", "pos"]).join(queries.select("query", "window", "offset", "items"), "query")
+    same = F.expr("slice(near, greatest(pos - offset - first, 0) + 1, size(window)) = window")
+    return placed.filter(same).select("row", (F.col("pos") - F.col("offset")).alias("start"), F.size("window").alias("size"), "items")
 
 
 def proximity_matches(index: Index, queries: DataFrame, within: int) -> DataFrame:
     """(row, pos, items) wherever all words of a query, in any order, stand at most ``within`` places from its rarest."""
     if within > index.reach:
         raise ValueError(f"the index reaches {index.reach} words")
-    coded = queries.select(F.transform("window", index.code).alias("wanted"), index.code(F.col("term")).alias("code"), "items")
-    places = _lists(index, coded.select("code")).join(coded, "code").withColumn("low", F.greatest(F.col("pos") - within, F.lit(0)))
-    blocks = index.blocks(places.select("row").distinct(), 2 * within)
-    asked = places.withColumn("block", F.floor(F.col("low") / F.lit(BLOCK))).join(blocks, ["row", "block"])
-    inside = lambda p: (p["at"] >= F.col("low")) & (p["at"] <= F.col("pos") + within)
-    near = F.transform(F.filter(F.arrays_zip("at", "codes"), inside), lambda p: p["codes"])
-    return asked.filter(F.size(F.array_except("wanted", near)) == 0).select("row", "pos", "items")
+    near = F.expr(f"slice(near, greatest(pos - {within} - first, 0) + 1, pos - greatest(pos - {within}, first) + {within} + 1)")
+    return index.postings.filter("near IS NOT NULL").join(queries, "term").filter(F.size(F.array_except("window", near)) == 0).select("row", "pos", "items")
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = 10, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -174,12 +139,14 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, id_cols: tu
     texts are read whole. Other columns of either table are ignored; id columns may have any names but those of the
     result's other columns.
     """
-    queries = C.materialize(windows(items, size), "windows")
-    terms = queries.select(F.explode("window").alias("term"))
     own = [f"own_{i}" for i in range(len(id_cols))]
-    index = build_index(docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(id_cols, own, strict=True)], F.col(f"`{text_col}`").alias("text")), terms, max(size - 1, 0), tuple(own), around=False)
-    counts = C.materialize(index.counts(), "term-counts")
-    found = phrase_matches(index, rarest(counts, queries)).groupBy("row", "start", "size").agg(F.flatten(F.collect_set("items")).alias("items"))
+    given = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(id_cols, own, strict=True)], F.col(f"`{text_col}`").cast("string").alias("text"))
+    queries = C.materialize(windows(items, size), "windows")
+    counts = C.materialize(term_counts(given, queries.select(F.explode("window").alias("term"))), "term-counts")
+    anchored = C.materialize(rarest(counts, queries), "anchored-windows")
+    anchors = anchored.select("term", F.lit(True).alias("around")).unionByName(anchored.filter("other IS NOT NULL").select(F.col("other").alias("term"), F.lit(False).alias("around")))
+    index = build_index(given, anchors.groupBy("term").agg(F.max("around").alias("around")), max(size - 1, 0), tuple(own))
+    found = phrase_matches(index, anchored).groupBy("row", "start", "size").agg(F.flatten(F.collect_set("items")).alias("items"))
     hits = found.groupBy("row").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set(F.expr("sequence(start, start + size - 1)"))))).cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("item_ids"),

@@ -88,22 +88,24 @@ def test_clashing_names(spark):
     assert sorted((r["pos"], r["term"], r["n_hit"]) for r in got.collect()) == [(2, "t", 0)] * 3 + [(2, "t", 10)] * 3
 
 
-def test_blocks(spark, monkeypatch):
-    """Windows and neighbourhoods that lie across blocks of positions."""
+def test_several_passes(spark, monkeypatch):
+    """Terms of several broadcasts; phrases and neighbourhoods."""
     rng = random.Random(5)
     items = [(i, " ".join(rng.choice("abcde") for _ in range(4))) for i in range(6)]
-    docs = [(i, " ".join(rng.choice("abcdex") for _ in range(rng.choice([3, 30, 200])))) for i in range(30)]
-    for block in (1, 2, 5):
+    docs = [(i, " ".join(rng.choice("abcdex") for _ in range(rng.choice([0, 3, 30, 200])))) for i in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    queries = dc.windows(spark.createDataFrame([(1, "a b e")], "item_id long, text string"))
+    for block in (1, 2, 50):
         monkeypatch.setattr(dc, "BLOCK", block)
         assert run(spark, docs, items, size=4) == by_hand(docs, items, 4)
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    queries = dc.windows(spark.createDataFrame([(1, "a b e")], "item_id long, text string"))
-    index = dc.build_index(df, ["a", "b", "e"], reach=9)
-    asked = dc.rarest(index.counts(), queries).collect()[0]["term"]
-    for within in (2, 4):
-        got = {(r["doc_id"], r["pos"]) for r in dc.proximity_matches(index, dc.rarest(index.counts(), queries), within).join(index.documents, "row").collect()}
-        want = {(d, k) for d, t in docs for k, w in enumerate(t.split()) if w == asked and {"a", "b", "e"} <= set(t.split()[max(0, k - within) : k + within + 1])}
-        assert got == want
+        counts = dc.term_counts(df, ["a", "b", "e", "none"])
+        index = dc.build_index(df, ["a", "b", "e"], reach=9)
+        assert {(r["term"], r["n"]) for r in counts.collect()} == {(c, sum(t.split().count(c) for _, t in docs)) for c in "abe"}
+        asked = dc.rarest(counts, queries).collect()[0]["term"]
+        for within in (2, 4):
+            got = {(r["doc_id"], r["pos"]) for r in dc.proximity_matches(index, dc.rarest(counts, queries), within).join(index.documents, "row").collect()}
+            want = {(d, k) for d, t in docs for k, w in enumerate(t.split()) if w == asked and {"a", "b", "e"} <= set(t.split()[max(0, k - within) : k + within + 1])}
+            assert got == want
 
 
 def test_benchmark_terms_are_not_in_the_plan(spark):
