@@ -320,7 +320,7 @@ def _gradients(model: Classifier):
     return run
 
 
-def refine(model: Classifier, texts: DataFrame, positives: DataFrame, id_col: str = "doc_id", rounds: int = 15, rate: float = 0.03) -> Classifier:
+def refine(model: Classifier, texts: DataFrame, positives: DataFrame, id_col: str = "doc_id", rounds: int = 8, rate: float = 0.03) -> Classifier:
     """Trains on with whole gradients of the risk over all texts (id, places) and the positives among them (distinct ids).
     Rows that repeat an id are texts of their own, and rows without one are unlabelled."""
     if not len(model.chosen) or not rounds:
