@@ -80,3 +80,15 @@ def test_no_second_sighting_is_held_back():
         # A mark from another task makes a suspect of a hash at its first sighting here.
         fresh = np.setdiff1d(rng.integers(0, 1 << 63, 50_000, dtype=np.uint64), h)
         assert set(seen.see(fresh, np.ones(len(fresh), bool))[1]) == set(fresh)
+
+
+def test_clashing_names_and_small_segments(spark, monkeypatch):
+    """Columns with names that the operator uses, and tables of many segments."""
+    from stratagrid.llm import common
+
+    monkeypatch.setattr(common, "SEGMENT", 3)
+    rows = [(k, "\n".join(f"line number {j} is held by several of the documents" for j in range(k % 7 * 9))) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS h", "'x' AS again", "2 AS bucket", "3 AS n", "4 AS keep", "5 AS sha")
+    got = lines.drop_repeated_lines(df)
+    assert got.columns == ["doc_id", "text", "h", "again", "bucket", "n", "keep", "sha", "n_lines", "n_dropped"]
+    assert order((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in got.collect()) == order(by_hand(rows))

@@ -125,3 +125,10 @@ def test_whole_table(spark, big_dir):
 
 def test_empty(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
+
+
+def test_clashing_names(spark):
+    rows = [(k, "one two three four five" if k % 2 else f"words of number {k}") for k in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS fp", "2 AS root", "3 AS component_id", "4 AS mask", "5 AS least")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(df).collect()}
+    assert got == {k: 1 if k % 2 else k for k in range(8)}
