@@ -918,7 +918,7 @@ def key_bands(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").alias("k"), names.band_of_key(key).alias("band"))
 
 
-@query("""WITH g AS (SELECT n_nationkey AS k, n_nationkey * 7 - 84.0 AS lat, n_nationkey * 13 - 160.0 AS lon, n_nationkey / 24.0::DOUBLE AS t FROM nation),
+@query("""WITH g AS (SELECT n_nationkey AS k, n_nationkey * 7 - 84.0::DOUBLE AS lat, n_nationkey * 13 - 160.0::DOUBLE AS lon, n_nationkey / 24.0::DOUBLE AS t FROM nation),
   p AS (SELECT *, cos(radians(lat)) * cos(radians(lon)) AS x, cos(radians(lat)) * sin(radians(lon)) AS y, sin(radians(lat)) AS z, least(floor(t * 2), 1) AS i, sqrt(0.55 * 0.55 + 0.3 * 0.3 + 0.78 * 0.78) AS n FROM g)
   SELECT k, round(greatest(0, least(1, x * 0.55 / n + y * 0.3 / n + z * 0.78 / n)), 9) AS light, round((lon - 5) * 111320.0 * cos(radians(40.0)), 6) AS east, round((lat - 40) * 110540.0, 6) AS north,
   round(CASE WHEN i = 0 THEN 0.0 + t * 2 * 0.5 ELSE 0.5 + (t * 2 - 1) * 0.5 END, 9) AS red, round(degrees(asin(z)), 6) + 0.0 AS camera_lat, round(degrees(atan2(y, x)), 6) + 0.0 AS camera_lng FROM p""")
@@ -983,6 +983,15 @@ def regions_exact(spark, sf_dir):
     return spark.createDataFrame(out, "box long, missed long, wrong long, some boolean")
 
 
+@query(f"WITH {PX}, {synth.cells_sql(5, 'cells')}, k AS (SELECT min(h3_cell) AS a, max(h3_cell) AS b FROM cells) SELECT h3_cell, elevation_mean, pixel_count FROM cells, k WHERE h3_cell IN (a, b) UNION ALL SELECT 5, NULL, NULL")
+def cell_got(spark, sf_dir):
+    """Single rows read on the driver, and one that the table lacks."""
+    stored = _stored(spark, synth.cells(spark, sf_dir, 5))
+    ends = stored.read().agg(F.min("h3_cell").alias("a"), F.max("h3_cell").alias("b")).first()
+    found = {c: stored.get(c, ["elevation_mean", "pixel_count"]) for c in (ends["a"], ends["b"], 5)}
+    return spark.createDataFrame([(c, *(row or {"e": None, "n": None}).values()) for c, row in found.items()], "h3_cell long, elevation_mean float, pixel_count long")
+
+
 def _band_files(spark, sf_dir, folder: str, bands: tuple[int, ...]) -> None:
     px = at_res(spark, sf_dir, 5).select("h3_cell", "elev").withColumn("south", bits.base_cell(F.col("h3_cell")).cast("double") % 3 * -1.0)
     for k in bands:

@@ -29,6 +29,7 @@ class CellTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self._scan: DataFrame | None = None
+        self._at, self._files = None, {}
 
     # -- writing
 
@@ -66,7 +67,7 @@ class CellTable:
         for old in self._versions():
             if old not in (version, before):
                 self._fs().delete(self._hadoop(f"{self.path}/{old}"), True)
-        self._scan = None
+        self._scan, self._at = None, None
         return rows
 
     def _put(self, path: str, text: str) -> None:
@@ -155,6 +156,33 @@ class CellTable:
         """A cell's row: one shard, and there the row groups whose range holds the id."""
         return self.scan().filter((F.col("base") == bits.base_of(cell)) & (F.col("h3_cell") == cell)).drop("base")
 
+    def get(self, cell: int, columns: list[str] | None = None) -> dict | None:
+        """A cell's row as a dict, or None where the table lacks it: the row groups of one shard that can hold it are read on
+        the driver, since for a single row a job takes longer than the read. lookup() gives the same as a DataFrame."""
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+        from pyarrow import fs as pafs
+
+        if self._at is None:
+            where = self.where()
+            self._at = pafs.FileSystem.from_uri(where if "://" in where else where.replace("file:", "file://", 1) if where.startswith("file:/") else f"file://{where}")
+            self._files = {}
+        fs, root = self._at
+        shard = f"{root}/base={bits.base_of(cell)}"
+        if shard not in self._files:
+            listed = fs.get_file_info(pafs.FileSelector(shard, allow_not_found=True))
+            self._files[shard] = [pq.ParquetFile(fs.open_input_file(f.path)) for f in listed if f.path.endswith(".parquet")]
+        for file in self._files[shard]:
+            at = file.schema_arrow.get_field_index("h3_cell")
+            for g in range(file.num_row_groups):
+                known = file.metadata.row_group(g).column(at).statistics
+                if known is not None and known.has_min_max and not known.min <= cell <= known.max:
+                    continue
+                ids = file.read_row_group(g, ["h3_cell"])["h3_cell"]
+                if (place := pc.index(ids, cell).as_py()) >= 0:
+                    return file.read_row_group(g, columns).slice(place, 1).to_pylist()[0]
+        return None
+
     def lookup_many(self, cells: list[int]) -> DataFrame:
         """The rows of some cells; the shards are given as literals, which an IN list of cells alone wouldn't prune."""
         shards = sorted({bits.base_of(c) for c in cells})
