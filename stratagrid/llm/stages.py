@@ -27,11 +27,32 @@ def _unpacked(docs: DataFrame, **own: Column) -> list[Column]:
     return [own[c].alias(c) if c in own else F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns]
 
 
+def _text_keys() -> tuple[Column, Column]:
+    """Two hashes that stand for a text; a null text has those of no other."""
+    text = F.col("text").cast("string")
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
+def _absent(gone: DataFrame, name: str, names: tuple[str, ...], own: tuple[Column, ...]) -> Column:
+    """Whether a row isn't among those to go. They are told by 128 bits of hash of some columns (names in gone, own in the
+    row), which workers look up in mapped arrays: rows and their texts stay where they are read, however many go."""
+    keys = lambda columns: [F.xxhash64(F.lit(seed), *columns) for seed in (2, 3)]
+    key, second = keys([F.col(n) for n in names])
+    table = C.write_sorted_table(gone.select(key.alias("h"), second.alias("second")).distinct(), name, ("second",))
+
+    @F.arrow_udf(T.BooleanType())
+    def absent(key: pa.Array, second: pa.Array) -> pa.Array:
+        return pa.array(~table.find(key.to_numpy().view(np.uint64), second.to_numpy())[0])
+
+    return absent(*keys(own))
+
+
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that the classifier doesn't call toxic. It is trained on these documents and the labels."""
-    model = toxicity.train_on_labels(docs.select("doc_id", "text"), labels)
-    scored = toxicity.score(_packed_rows(docs), model)
-    return scored.filter("predicted = 0").select(*_unpacked(docs))
+    """Documents that the classifier doesn't call toxic. It is trained on these documents and the labels. A score depends on
+    the text alone, so texts that go are known by their hashes, and each text is read for features once."""
+    h, g = _text_keys()
+    scored = toxicity.train_and_score(docs.select("doc_id", "text", h.alias("h"), g.alias("g")), labels, ("h", "g"))
+    return docs.filter(_absent(scored.filter("predicted = 1"), "toxic-texts", ("h", "g"), (h, g)))
 
 
 def remove_repeated_lines(docs: DataFrame) -> DataFrame:
@@ -43,12 +64,6 @@ def remove_repeated_lines(docs: DataFrame) -> DataFrame:
     return kept.select(*_unpacked(docs, **own))
 
 
-def _text_keys() -> tuple[Column, Column]:
-    """Two hashes that stand for a text; a null text has those of no other."""
-    text = F.col("text").cast("string")
-    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
-
-
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The document with the smallest id of each group of near duplicates (of a group's rows that share it, one). Groups of
     rows without any id keep one of them."""
@@ -56,21 +71,13 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), h.alias("h"), g.alias("g"))
     found = simhash.near_duplicates(keyed, carry=("h", "g"))
     rows = found.count()
-    # Rows to drop are told by 128 bits of hash of id and text, which workers look up in mapped arrays: texts stay where they
-    # are read, however many rows go.
     keep = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     unnamed = found.filter(F.col("component_id").isNull()).agg(F.count(F.lit(1)).alias("n")).first()["n"]
     gone = found.filter(~F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)) & F.col("component_id").isNotNull())
-    key = lambda seed: F.xxhash64(F.lit(seed), "doc_id", "h", "g")
-    table = C.write_sorted_table(gone.select(key(2).alias("h"), key(3).alias("second")).distinct(), "near-duplicates-to-drop", ("second",))
-
-    @F.arrow_udf(T.BooleanType())
-    def stays(key: pa.Array, second: pa.Array) -> pa.Array:
-        return pa.array(~table.find(key.to_numpy().view(np.uint64), second.to_numpy())[0])
-
+    doc_id = F.col("doc_id").cast("long")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    marked = docs.select(row.alias(ROW), F.col("doc_id").cast("long").alias("doc_id"), h.alias("h"), g.alias("g"))
-    left = marked.filter(stays(key(2), key(3)))
+    staying = docs.filter(_absent(gone, "near-duplicates-to-drop", ("doc_id", "h", "g"), (doc_id, h, g)))
+    left = staying.select(row.alias(ROW), doc_id.alias("doc_id"), h.alias("h"), g.alias("g"))
     repeated = C.materialize(keep.filter("n > 1").select("doc_id"), "repeated-ids", rows=rows)
     if repeated.isEmpty() and not unnamed:
         return left.select(f"{ROW}.*")

@@ -406,17 +406,23 @@ def train_on_labels(docs: DataFrame, labels: DataFrame) -> Classifier:
     return _train(docs.filter(_own()), labels)[0]
 
 
-def _train(docs: DataFrame, labels: DataFrame) -> tuple[Classifier, DataFrame]:
-    """The classifier, and the features of all docs (doc_id, places)."""
+def _train(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = ()) -> tuple[Classifier, DataFrame]:
+    """The classifier, and the features of all docs (doc_id, carry and places)."""
     learn = _learnable(labels)
     share = learn.agg(F.avg(F.col("positive").cast("double")).alias("p")).first()["p"]
     first = fit_sample(docs.filter(_own()), learn, share)
-    texts = C.materialize(features_of(docs.select("doc_id", "text"), first), "toxicity-features")
+    texts = C.materialize(features_of(docs.select("doc_id", "text", *carry), first), "toxicity-features")
     return refine(first, texts.filter(_own()), learn.filter("positive")), texts
 
 
+def train_and_score(docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, carry, score, predicted) of all docs by train_on_labels' classifier; texts are read for features once."""
+    model, texts = _train(docs, labels, carry)
+    return score_features(texts, model)
+
+
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
     """Scores every document for toxicity."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    model, texts = _train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_features(texts, model).select("doc_id", (C.text_remainder(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+    scored = train_and_score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return scored.select("doc_id", (C.text_remainder(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
