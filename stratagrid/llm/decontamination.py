@@ -44,10 +44,10 @@ def windows(items: DataFrame, size: int = 10, id_col: str = "item_id", text_col:
     return own.select("item", F.explode(F.transform(starts, lambda i: F.slice("w", i, size))).alias("window")).groupBy("window").agg(F.collect_set("item").alias("items"))
 
 
-def _table(docs: DataFrame, terms: DataFrame | list[str], *more: str) -> DataFrame:
-    """Distinct terms (term and more), stored."""
+def _table(docs: DataFrame, terms: DataFrame | list[str], at_most: int | None, *more: str) -> DataFrame:
+    """Distinct terms (term and more), stored. at_most: how many there are, where that is known."""
     rows = terms if isinstance(terms, DataFrame) else docs.sparkSession.createDataFrame([(t,) for t in terms], "term string")
-    return C.materialize(rows.select("term", *more).distinct(), "terms")
+    return C.materialize(rows.select("term", *more).distinct(), "terms", rows=at_most)
 
 
 def _blocks(terms: DataFrame) -> list[DataFrame]:
@@ -56,10 +56,10 @@ def _blocks(terms: DataFrame) -> list[DataFrame]:
     return [terms.filter(F.pmod(F.xxhash64(F.lit(11), "term"), F.lit(n)) == i) for i in range(n)]
 
 
-def term_counts(docs: DataFrame, terms: DataFrame | list[str], text_col: str = "text") -> DataFrame:
+def term_counts(docs: DataFrame, terms: DataFrame | list[str], text_col: str = "text", at_most: int | None = None) -> DataFrame:
     """(term, n): how often each of the terms stands in the corpus; terms that don't are left out."""
     each = docs.select(F.explode(words(F.col(text_col).cast("string"))).alias("term"))
-    parts = [each.join(F.broadcast(b), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n")) for b in _blocks(_table(docs, terms))]
+    parts = [each.join(F.broadcast(b), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n")) for b in _blocks(_table(docs, terms, at_most))]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -73,11 +73,11 @@ class Index:
     reach: int
 
 
-def build_index(docs: DataFrame, terms: DataFrame | list[str], reach: int = 9, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> Index:
+def build_index(docs: DataFrame, terms: DataFrame | list[str], reach: int = 9, id_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text", at_most: int | None = None) -> Index:
     """Positional postings of the terms, with the words up to ``reach`` places away, written to the shared folder. A table of
     terms tells by a column around which terms keep their surroundings; those of a list all do."""
     terms = terms.select("term", "around") if isinstance(terms, DataFrame) else docs.sparkSession.createDataFrame([(t, True) for t in terms], "term string, around boolean")
-    parts = _blocks(_table(docs, terms, "around"))
+    parts = _blocks(_table(docs, terms, at_most, "around"))
     names = [f"id_{i}" for i in range(len(id_cols))]
     ids = [F.col(f"`{c}`").alias(n) for n, c in zip(names, id_cols, strict=True)]
     own = docs.select(F.monotonically_increasing_id().alias("row"), *ids, words(F.col(text_col).cast("string")).alias("w"))
@@ -111,7 +111,7 @@ def rarest(counts: DataFrame, queries: DataFrame) -> DataFrame:
 def phrase_matches(index: Index, queries: DataFrame) -> DataFrame:
     """(row, start, size, items) wherever a query's words stand consecutively. Queries have window, items, term, offset, other
     and beside; the index has postings of term, with surroundings, and of other."""
-    queries = C.materialize(queries.withColumn("query", F.monotonically_increasing_id()), "queries")
+    queries = C.materialize(queries.withColumn("query", F.monotonically_increasing_id()), "queries", rows=queries.count())
     light = index.postings.select("row", "term", "pos")
     firsts = light.join(queries.select("query", "term", "offset", "other", "beside"), "term").filter(F.col("pos") >= F.col("offset")).select("row", "query", "pos", "offset", "other", "beside")
     wanted = firsts.filter("other IS NOT NULL").select("row", "query", F.col("pos").alias("at"), (F.col("pos") - F.col("offset") + F.col("beside")).alias("pos"), F.col("other").alias("term"))
@@ -141,11 +141,13 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, id_cols: tu
     """
     own = [f"own_{i}" for i in range(len(id_cols))]
     given = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(id_cols, own, strict=True)], F.col(f"`{text_col}`").cast("string").alias("text"))
-    queries = C.materialize(windows(items, size), "windows")
-    counts = C.materialize(term_counts(given, queries.select(F.explode("window").alias("term"))), "term-counts")
-    anchored = C.materialize(rarest(counts, queries), "anchored-windows")
+    # The benchmark's words bound its windows and its terms.
+    most = items.agg(F.coalesce(F.sum(F.size(words(F.col("text").cast("string"))).cast("long")), F.lit(0)).alias("n")).first()["n"]
+    queries = C.materialize(windows(items, size), "windows", rows=most)
+    counts = C.materialize(term_counts(given, queries.select(F.explode("window").alias("term")), at_most=most), "term-counts", rows=most)
+    anchored = C.materialize(rarest(counts, queries), "anchored-windows", rows=most)
     anchors = anchored.select("term", F.lit(True).alias("around")).unionByName(anchored.filter("other IS NOT NULL").select(F.col("other").alias("term"), F.lit(False).alias("around")))
-    index = build_index(given, anchors.groupBy("term").agg(F.max("around").alias("around")), max(size - 1, 0), tuple(own))
+    index = build_index(given, anchors.groupBy("term").agg(F.max("around").alias("around")), max(size - 1, 0), tuple(own), at_most=most)
     found = phrase_matches(index, anchored).groupBy("row", "start", "size").agg(F.flatten(F.collect_set("items")).alias("items"))
     hits = found.groupBy("row").agg(
         F.size(F.array_distinct(F.flatten(F.collect_set(F.expr("sequence(start, start + size - 1)"))))).cast("long").alias("n_hit"),

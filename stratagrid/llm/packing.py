@@ -277,7 +277,7 @@ def pack(docs: DataFrame, capacity: int = 1024, end_id: int = 2, id_col: str = "
         _cut(capacity, end_id, vocabulary or public_vocabulary()), "doc_id long, piece int, start long, length long, part int, nth long, ids binary")
     pieces = C.materialize(cut.withColumn("ids_crc32", F.crc32("ids")), "pieces", compression="zstd")
     # The rank of a piece among those of its length: those of earlier tasks, and its number within the task.
-    per_task = C.materialize(pieces.groupBy("length", "part").count(), "lengths")
+    per_task = C.materialize(pieces.groupBy("length", "part").count(), "lengths", rows=pieces.count())
     histogram = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     before = per_task.select("length", "part", (F.sum("count").over(Window.partitionBy("length").orderBy("part")) - F.col("count")).alias("before"))
     steps = intervals(plan(histogram, capacity, groups, small)) or [(0, 0, 0, 0, 0)]

@@ -96,7 +96,7 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     h, g = _text_keys()
     hashed = docs.select(F.col("text").cast("string").alias("text"), h.alias("h"), g.alias("g"))
     found = decontamination.contamination(hashed, benchmark, id_cols=("h", "g"))
-    bad = C.materialize(found.filter("contaminated").select(F.col("h").alias("__h"), F.col("g").alias("__g")).distinct(), "contaminated")
+    bad = C.materialize(found.filter("contaminated").select(F.col("h").alias("__h"), F.col("g").alias("__g")).distinct(), "contaminated", rows=docs.count())
     same = (h == F.col("__h")) & (g == F.col("__g"))
     return docs.join(bad, same, "left_anti")
 

@@ -39,6 +39,8 @@ from . import common as C
 GRAMS = (4, 5, 6)
 #: How often a text must have a feature for each of its levels.
 LEVELS = (1, 2, 3, 5)
+#: Tasks that share the sample, whose size is bounded.
+SAMPLE_TASKS = 32
 #: Weight decay.
 DECAY = 1e-4
 _WORD = re.compile(r"[^\W\d_]+")
@@ -228,7 +230,7 @@ def fit_sample(docs: DataFrame, labelled: DataFrame, prior: float | None, id_col
     ids = toxic_ids.join(drawn_ids, "id", "full").na.fill(False)  # at most max_positive + max_labelled rows
     # One text an id. The sample is dealt anew, since a few of the input's files may hold most of it.
     texts = given.join(F.broadcast(ids), "id").groupBy("id", "positive", "drawn").agg(F.min("text").alias("text"))
-    sample = texts.select("positive", "text", "drawn").repartition(C.shuffle_partitions(spark)).mapInArrow(_sample_features, "positive boolean, drawn boolean, features array<long>, text string")
+    sample = texts.select("positive", "text", "drawn").repartition(SAMPLE_TASKS).mapInArrow(_sample_features, "positive boolean, drawn boolean, features array<long>, text string")
     sample = C.materialize(sample, "toxicity-sample")
     n_p, n_u = (sample.agg(F.count(F.when(F.col(c), 1)).alias("n")).first()["n"] for c in ("positive", "drawn"))
     if not n_p or not n_u:
