@@ -143,7 +143,8 @@ def _write(folder: str, roll: int, level: int, copies: C.SortedTable, least: int
 
 def _bounds(pages: DataFrame, shards: int, rows: int, sample: int) -> np.ndarray:
     """shards - 1 ids between equal shares of a sample of rows, which are chosen by their content: about ``sample`` of
-    them, or 20 a shard if that is more. A row that is repeated often is one row of the sample with its count."""
+    them, or 20 a shard if that is more, so 2 million at the most shards that there can be, come to the driver. A row that
+    is repeated often is one row of the sample with its count."""
     if shards < 2:
         return np.zeros(0, np.int64)
     one_in = max(1, rows // max(sample, 20 * shards))
