@@ -1043,8 +1043,7 @@ def running_stats(spark, sf_dir):
     from .streaming import sweep
 
     folder = _folder(spark)
-    synth.pixels(spark, sf_dir).select("h3_cell", "elev").repartition(3).write.parquet(f"{folder}/in")
-    name = f"running_{next(_count)}"
-    stream = spark.readStream.schema("h3_cell long, elev double").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    sweep.running_stats(stream, "h3_cell").writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{folder}/at").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    synth.pixels(spark, sf_dir).select("h3_cell", "elev", "lat_band").write.partitionBy("lat_band").parquet(f"{folder}/in")
+    files = len(spark.read.parquet(f"{folder}/in").inputFiles())
+    stream = spark.readStream.schema("h3_cell long, elev double").option("maxFilesPerTrigger", max(1, -(-files // 3))).parquet(f"{folder}/in/lat_band=*")
+    return sweep.kept_stats(stream, f"{folder}/at", "h3_cell")

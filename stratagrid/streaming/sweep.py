@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..operators import stats
 
+#: State on the executors' disks, with memory that doesn't grow with the number of keys or partitions.
+_STORE = {"providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "rocksdb.boundedMemoryUsage": "true", "rocksdb.trackTotalNumberOfRows": "false", "rocksdb.compression": "zstd"}
 PIXELS = "lat_band string, south double, h3_cell long, elev double"
 
 
@@ -22,6 +24,11 @@ class LateData(RuntimeError):
     """A band has pixels of a cell that ends above what was committed, so is final: the input isn't in order."""
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 class Sweep:
     """State and results below a path: state/v<batch>, cells/batch=<batch>, commits/batch=<batch>."""
 
@@ -30,8 +37,7 @@ class Sweep:
         self.spark, self.path, self.south = spark, path.rstrip("/"), south
 
     def _exists(self, path: str) -> bool:
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        return _exists(self.spark, path)
 
     def state(self, batch: int) -> DataFrame | None:
         path = f"{self.path}/state/v{batch}"
@@ -101,3 +107,26 @@ def band_stream(spark: SparkSession, path: str, bands_per_batch: int = 1) -> Dat
 def running_stats(pixels: DataFrame, *keys: str) -> DataFrame:
     """Partials of a stream, kept by Spark's own state store (complete or update mode)."""
     return stats.partial(pixels, *keys)
+
+
+def kept_stats(pixels: DataFrame, checkpoint: str, *keys: str) -> DataFrame:
+    """Runs a streaming DataFrame of pixels to its present end; a later run with the same checkpoint goes on where this one
+    stopped. Returns the partials of all runs, read by tasks from the state store: no batch gives out or collects them."""
+    spark, own = pixels.sparkSession, running_stats(pixels, *keys)
+    conf = {f"spark.sql.streaming.stateStore.{k}": v for k, v in _STORE.items()}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        query = own.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:  # the stream has a copy of its own
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    query.awaitTermination()
+    if not _exists(spark, f"{checkpoint}/state/0"):  # nothing has come yet
+        return spark.createDataFrame([], own.schema)
+    kept = "struct<" + ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in own.schema.fields[len(keys):]) + ">"  # by position: sums have one name there
+    return spark.read.format("statestore").load(checkpoint).select("key.*", F.col("value").cast(kept).alias("value")).select(*keys, "value.*")
