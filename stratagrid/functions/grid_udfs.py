@@ -15,7 +15,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bits, grid
+from . import grid
 
 LATLNG = T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lng", T.DoubleType())])
 #: A cell that stands in for what isn't one, so that whole columns of plain numbers reach the kernel.
@@ -28,17 +28,20 @@ def _numbers(column: pa.Array) -> np.ndarray:
 
 
 def _ids(column: pa.Array) -> np.ndarray:
-    return column.fill_null(_ANY).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.cast(pa.int64()).fill_null(_ANY).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _where(cell: Column) -> Column:
-    return cell.isNotNull() & bits.is_valid(cell)
+def _masked(array: pa.Array, none: np.ndarray) -> pa.Array:
+    return pa.compute.if_else(pa.array(none), pa.scalar(None, array.type), array) if none.any() else array
 
 
-def _of_cells(f: Callable[[Column], Column], cell: Column) -> Column:
-    """f of the cells in a column, and null of what isn't a cell."""
-    good = _where(cell)
-    return F.when(good, f(F.when(good, cell).otherwise(F.lit(_ANY).cast("long"))))
+def _of_cells(cell: pa.Array, f: Callable[[np.ndarray], pa.Array]) -> pa.Array:
+    """f of the cells in a column, and null of what isn't a cell. This is told here, not by a Column: bits.is_valid names
+    its cell some three hundred times, and Spark makes each a column of the rows that wait for Python if the cell comes
+    from an aggregate."""
+    ids = _ids(cell)
+    good = _valid(ids) & ~np.asarray(cell.is_null())
+    return _masked(f(np.where(good, ids, _ANY)), ~good)
 
 
 def _cells(lat: np.ndarray, lng: np.ndarray, res: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,55 +79,65 @@ def latlng_to_cells(lat: Column, lng: Column, resolutions: tuple[int, ...]) -> C
     return F.transform(F.arrays_zip(F.array(*[F.lit(r) for r in resolutions]).alias("res"), own.alias("h3_cell")), lambda x: F.struct(x["res"].alias("res"), x["h3_cell"].alias("h3_cell")))
 
 
+def _points(lat: np.ndarray, lng: np.ndarray) -> pa.Array:
+    return pa.StructArray.from_arrays([pa.array(lat), pa.array(lng)], names=["lat", "lng"])
+
+
 @F.arrow_udf(LATLNG)
 def _centre(cell: pa.Array) -> pa.Array:
-    lat, lng = grid.cell_to_latlng(_ids(cell))
-    return pa.StructArray.from_arrays([pa.array(lat), pa.array(lng)], names=["lat", "lng"])
+    return _of_cells(cell, lambda ids: _points(*grid.cell_to_latlng(ids)))
 
 
 @F.arrow_udf(T.ArrayType(LATLNG))
 def _outline(cell: pa.Array) -> pa.Array:
-    lat, lng, starts = grid.outlines(_ids(cell))
-    return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.StructArray.from_arrays([pa.array(lat), pa.array(lng)], names=["lat", "lng"]))
+    def outlines(ids: np.ndarray) -> pa.Array:
+        lat, lng, starts = grid.outlines(ids)
+        return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), _points(lat, lng))
+
+    return _of_cells(cell, outlines)
 
 
 @F.arrow_udf(T.DoubleType())
 def _south(cell: pa.Array) -> pa.Array:
-    return pa.array(grid.cell_bounds(_ids(cell))[0])
+    return _of_cells(cell, lambda ids: pa.array(grid.cell_bounds(ids)[0]))
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
 def _disk(cell: pa.Array, k: pa.Array) -> pa.Array:
-    ids, steps = _ids(cell), k.fill_null(0).to_numpy(zero_copy_only=False)
-    lists = np.empty(len(ids), dtype=object)
-    for n in np.unique(steps):
-        m = np.flatnonzero(steps == n)
-        held, starts = grid.disks(ids[m], int(n))
-        for i, lo, hi in zip(m, starts[:-1], starts[1:], strict=True):
-            lists[i] = held[lo:hi]
-    counts = np.array([len(x) for x in lists], dtype=np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *lists])))
+    steps = k.fill_null(0).to_numpy(zero_copy_only=False)
+
+    def disks(ids: np.ndarray) -> pa.Array:
+        lists = np.empty(len(ids), dtype=object)
+        for n in np.unique(steps):
+            m = np.flatnonzero(steps == n)
+            held, starts = grid.disks(ids[m], int(n))
+            for i, lo, hi in zip(m, starts[:-1], starts[1:], strict=True):
+                lists[i] = held[lo:hi]
+        counts = np.array([len(x) for x in lists], dtype=np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *lists])))
+
+    return _of_cells(cell, disks)
 
 
 def cell_to_latlng(cell: Column) -> Column:
     """The centre, as (lat, lng) in degrees."""
-    return _of_cells(_centre, cell)
+    return _centre(cell.cast("long"))
 
 
 def cell_to_boundary(cell: Column) -> Column:
     """The outline, as an array of (lat, lng)."""
-    return _of_cells(_outline, cell)
+    return _outline(cell.cast("long"))
 
 
 def cell_south(cell: Column) -> Column:
     """The southern extent of a cell's outline in degrees."""
-    return _of_cells(_south, cell)
+    return _south(cell.cast("long"))
 
 
 def grid_disk(cell: Column, k: int | Column) -> Column:
     """Cells at most k steps away."""
     steps = F.lit(k) if isinstance(k, int) else k
-    return F.when(steps.isNotNull(), _of_cells(lambda c: _disk(c, steps.cast("int")), cell))
+    return F.when(steps.isNotNull(), _disk(cell.cast("long"), steps.cast("int")))
 
 
 def _valid(ids: np.ndarray) -> np.ndarray:
@@ -144,14 +157,6 @@ def register(spark: SparkSession) -> None:
     They give null where the functions of columns do, and for a resolution or a number of steps that is missing or out
     of range."""
 
-    def masked(array: pa.Array, none: np.ndarray) -> pa.Array:
-        return pa.compute.if_else(pa.array(none), pa.scalar(None, array.type), array)
-
-    def cells_of(cell: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        ids = _ids(cell)
-        good = _valid(ids) & ~np.asarray(cell.is_null())
-        return pa.array(np.where(good, ids, _ANY)), ~good
-
     @F.arrow_udf(T.LongType())
     def cell_of(lat: pa.Array, lng: pa.Array, res: pa.Array) -> pa.Array:
         at, steps = (_numbers(lat), _numbers(lng)), res.fill_null(-1).to_numpy(zero_copy_only=False)
@@ -161,21 +166,10 @@ def register(spark: SparkSession) -> None:
             out[m], none[m] = _cells(at[0][m], at[1][m], int(r))
         return pa.array(out, mask=none)
 
-    @F.arrow_udf(LATLNG)
-    def cell_centre(cell: pa.Array) -> pa.Array:
-        own, none = cells_of(cell)
-        return masked(_centre.func(own), none)
-
-    @F.arrow_udf(T.ArrayType(LATLNG))
-    def cell_outline(cell: pa.Array) -> pa.Array:
-        own, none = cells_of(cell)
-        return masked(_outline.func(own), none)
-
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def cell_disk(cell: pa.Array, k: pa.Array) -> pa.Array:
-        own, none = cells_of(cell)
         steps = k.fill_null(-1).to_numpy(zero_copy_only=False)
-        return masked(_disk.func(own, pa.array(np.maximum(steps, 0))), none | (steps < 0))
+        return _masked(_disk.func(cell, pa.array(np.maximum(steps, 0))), steps < 0)
 
-    for f in (cell_of, cell_centre, cell_outline, cell_disk):
-        spark.udf.register(f.__name__, f)
+    for name, f in {"cell_of": cell_of, "cell_centre": _centre, "cell_outline": _outline, "cell_disk": cell_disk}.items():
+        spark.udf.register(name, f)

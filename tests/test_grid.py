@@ -119,3 +119,18 @@ def test_mixed_cells_and_disks():
         want = {c} | step | {n for around in grid.neighbours(sorted(step)) for n in around}
         assert held[lo:hi].tolist() == sorted(want)
     assert grid.cell_to_boundary([]) == [] and grid.neighbours([]) == [] and len(grid.disks([], 1)[0]) == 0
+
+
+def test_cells_of_an_aggregate_go_to_python_once(spark):
+    """Each time that a function's argument names a cell is a column of the rows that wait for Python."""
+    cells = spark.range(5).select((F.lit(0x8928308280FFFFF) + F.col("id") % 2).alias("c")).distinct()
+    cell = F.col("c")
+    for f in (grid_udfs.cell_to_latlng(cell), grid_udfs.cell_to_boundary(cell), grid_udfs.cell_south(cell), grid_udfs.grid_disk(cell, 1)):
+        plan = cells.select("c", f.alias("f"))._jdf.queryExecution().optimizedPlan().toString()
+        rows = next(line for line in plan.splitlines() if "Aggregate [" in line).rsplit("], [", 1)[1]
+        assert rows.count("c#") <= 3
+
+
+def test_cells_of_fewer_bits(spark):
+    got = spark.sql("SELECT CAST(7 AS INT) AS c").select(grid_udfs.cell_to_latlng(F.col("c")).alias("at"), grid_udfs.grid_disk(F.col("c"), 1).alias("d")).first()
+    assert got["at"] is None and got["d"] is None
