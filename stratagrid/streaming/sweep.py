@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from ..operators import stats
 
-#: State on the executors' disks, with memory that doesn't grow with the number of keys or partitions.
-_STORE = {"providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "rocksdb.boundedMemoryUsage": "true", "rocksdb.trackTotalNumberOfRows": "false", "rocksdb.compression": "zstd"}
+#: State on the executors' disks, with memory that doesn't grow with the number of keys or partitions. Shuffle files of a
+#: batch go when it ends, by the setting that kept_stats adds.
+_STORE = {"providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "rocksdb.boundedMemoryUsage": "true", "rocksdb.trackTotalNumberOfRows": "false", "rocksdb.compression": "zstd", "rocksdb.blockSizeKB": "16"}
 PIXELS = "lat_band string, south double, h3_cell long, elev double"
 
 
@@ -113,7 +114,7 @@ def kept_stats(pixels: DataFrame, checkpoint: str, *keys: str) -> DataFrame:
     """Runs a streaming DataFrame of pixels to its present end; a later run with the same checkpoint goes on where this one
     stopped. Returns the partials of all runs, read by tasks from the state store: no batch gives out or collects them."""
     spark, own = pixels.sparkSession, running_stats(pixels, *keys)
-    conf = {f"spark.sql.streaming.stateStore.{k}": v for k, v in _STORE.items()}
+    conf = {f"spark.sql.streaming.stateStore.{k}": v for k, v in _STORE.items()} | {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
     before = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
